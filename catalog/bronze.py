@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from catalog.frames import (
     CRYPTO_POLLS_SQL,
     FX_POLLS_SQL,
-    RAW_WEATHER_SQL,
+    WEATHER_POLLS_SQL,
     crypto_polls,
     events,
     fx_polls,
@@ -189,7 +189,7 @@ QUERIES = {
 
 _KEY = "strftime({ts}, '%Y%m%dT%H%M%S%fZ') || '.json'"
 _WEATHER_ROWS = f"""
-select city, latitude, longitude, temperature_c, windspeed_kmh, weather_code, observed_at, captured_at, extracted_date from ({RAW_WEATHER_SQL}) r
+select city, latitude, longitude, temperature_c, windspeed_kmh, weather_code, observed_at, captured_at, extracted_date from ({WEATHER_POLLS_SQL}) r
 """
 _STAGED_WEATHER = f"""
 select * from (
@@ -229,11 +229,7 @@ with p as (select l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate + t
 select coin_id, 'usdt' as vs_currency, price, cast(null as double) as market_cap, l_tax as price_change_24h_pct, captured_at,
        cast(captured_at as date) as extracted_date from r
 """,
-    "payload_map_explode": """
-select case when o_orderstatus = 'P' then 'EUR' else 'USD' end as base_currency, u.quote as quote_currency, o_totalprice * u.factor as rate,
-       o_orderdate + to_microseconds(o_orderkey) as captured_at, cast(o_orderdate + to_microseconds(o_orderkey) as date) as extracted_date
-from orders cross join (values ('GBP', 1.0::double), ('EUR', 0.5::double), ('JPY', 2.0::double)) u(quote, factor)
-""",
+    "payload_map_explode": FX_POLLS_SQL,
     "config_fallback": """
 select o_orderkey, case o_orderstatus when 'F' then 'EUR' when 'P' then 'CHF' else 'USD' end as base_currency from orders
 """,

@@ -37,6 +37,17 @@ def out(df: DataFrame, doubles: tuple[str, ...] = (), times: tuple[str, ...] = (
     return df.withColumns(casts) if casts else df
 
 
+def average(column: str) -> Column:
+    """A decimal average rounded half up to six places, as double."""
+    return F.round(column, 6).cast("double")
+
+
+def average_sql(column: str) -> str:
+    """The same in whole millionths, since a quotient of doubles rounds differently. Needs two-decimal, non-negative input."""
+    hundredths = f"sum(cast(round({column} * 100) as bigint))"
+    return f"cast((2 * {hundredths} * 10000 + count({column})) // (2 * count({column})) as double) / cast(1000000 as double)"
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with ``ts`` as an instant and the UTC day as ``extracted_date``."""
     df = table(spark, sf_dir, "events").withColumn("ts", instant("ts"))
@@ -71,11 +82,18 @@ from events
 """
 
 
-def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Readings: a supplier is a city, a ship date its day; the code is missing where the line is final."""
-    df = table(spark, sf_dir, "lineitem")
-    captured = shifted(instant("l_shipdate"), F.col("l_orderkey") * 10 + F.col("l_linenumber"))
-    return df.select(
+def _in_january(timestamp: str) -> Column:
+    """The same day of the month, in January 1999, as epoch microseconds."""
+    return F.unix_micros(F.lit("1999-01-01").cast("timestamp")) + (F.dayofmonth(timestamp) - 1) * F.lit(MICROS_PER_DAY)
+
+
+def _in_january_sql(timestamp: str) -> str:
+    return f"timestamp '1999-01-01 00:00:00' + to_days(cast(day({timestamp}) - 1 as integer))"
+
+
+def _weather(spark: SparkSession, sf_dir: str, day_micros: Column) -> DataFrame:
+    captured = F.timestamp_micros(day_micros + F.col("l_orderkey") * 10 + F.col("l_linenumber"))
+    return table(spark, sf_dir, "lineitem").select(
         F.format_string("city-%d", "l_suppkey").alias("city"),
         F.col("l_tax").cast(COORDINATE).alias("latitude"),
         F.col("l_discount").cast(COORDINATE).alias("longitude"),
@@ -89,16 +107,25 @@ def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-RAW_WEATHER_SQL = """
+def _weather_sql(day: str) -> str:
+    captured = f"{day} + to_microseconds(l_orderkey * 10 + l_linenumber)"
+    return f"""
 select 'city-' || l_suppkey as city, l_tax as latitude, l_discount as longitude, l_quantity as temperature_c,
        l_discount as windspeed_kmh, case when l_linestatus <> 'F' then l_linenumber end as weather_code,
-       l_shipdate as observed_at, l_shipdate + to_microseconds(l_orderkey * 10 + l_linenumber) as captured_at,
-       cast(l_shipdate + to_microseconds(l_orderkey * 10 + l_linenumber) as date) as extracted_date,
+       l_shipdate as observed_at, {captured} as captured_at, cast({captured} as date) as extracted_date,
        'weather/' || l_partkey as object_key
 from lineitem
 """
 
 
+def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings: a supplier is a city, a ship date its day; the code is missing where the line is final."""
+    return _weather(spark, sf_dir, F.unix_micros(instant("l_shipdate")))
+
+
+RAW_WEATHER_SQL = _weather_sql("l_shipdate")
+
+
 def raw_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rates: the priority names the quote currency and the status the base."""
     quote = F.col("o_orderpriority")
@@ -150,8 +177,8 @@ from events
 
 
 def weather_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One single-city poll per line item."""
-    bronze = raw_weather(spark, sf_dir)
+    """One single-city poll per line item, all captured in January."""
+    bronze = _weather(spark, sf_dir, _in_january("l_shipdate"))
     reading = F.struct(
         F.date_format("observed_at", "yyyy-MM-dd'T'HH:mm").alias("time"),
         F.col("temperature_c").cast("double").alias("temperature_2m"),
@@ -167,25 +194,29 @@ def weather_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.select(F.lit("weather").alias("source_name"), "captured_at", F.to_json(F.array(entry)).alias("payload"))
 
 
+WEATHER_POLLS_SQL = _weather_sql(_in_january_sql("l_shipdate"))
+
+
 def fx_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One poll of three rates per order; the base is absent from open orders' polls."""
+    """One poll of three rates per order, captured in January; the base is absent from open orders' polls."""
     status = F.col("o_orderstatus")
     base = F.when(status == "F", "USD").when(status == "P", "EUR")
     price = F.col("o_totalprice")
     rates = F.create_map(F.lit("GBP"), price, F.lit("EUR"), price / 2, F.lit("JPY"), price * 2)
     return table(spark, sf_dir, "orders").select(
         F.lit("fx").alias("source_name"),
-        shifted(instant("o_orderdate"), F.col("o_orderkey")).alias("captured_at"),
+        F.timestamp_micros(_in_january("o_orderdate") + F.col("o_orderkey")).alias("captured_at"),
         F.to_json(F.struct(base.alias("base"), F.to_date("o_orderdate").cast("string").alias("date"), rates.alias("rates"))).alias(
             "payload"
         ),
     )
 
 
-FX_POLLS_SQL = """
-select case when o_orderstatus = 'P' then 'EUR' else 'USD' end as base_currency, q.quote as quote_currency, o_totalprice * q.factor as rate,
-       o_orderdate + to_microseconds(o_orderkey) as captured_at, cast(o_orderdate + to_microseconds(o_orderkey) as date) as extracted_date
-from orders cross join (values ('GBP', 1.0::double), ('EUR', 0.5::double), ('JPY', 2.0::double)) q(quote, factor)
+FX_POLLS_SQL = f"""
+select base_currency, quote_currency, o_totalprice * factor as rate, captured_at, cast(captured_at as date) as extracted_date
+from (select case when o_orderstatus = 'P' then 'EUR' else 'USD' end as base_currency, o_totalprice,
+             {_in_january_sql("o_orderdate")} + to_microseconds(o_orderkey) as captured_at from orders) p
+cross join (values ('GBP', 1.0::double), ('EUR', 0.5::double), ('JPY', 2.0::double)) q(quote_currency, factor)
 """
 
 

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog.frames import SHIFT_DAYS, events, out, table
+from catalog.frames import SHIFT_DAYS, average, average_sql, events, out, table
 from tidemark import shared_path
 from tidemark.functions import strict_cast, strip_suffix
 from tidemark.operators import (
@@ -66,7 +66,7 @@ def filtered_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 def daily_avg_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").withColumn("d", F.to_date("l_shipdate"))
     averages = {"avg_qty": F.col("l_quantity").cast(AMOUNT), "avg_price": F.col("l_extendedprice").cast(AMOUNT)}
-    return out(daily_averages(lines, "d", averages, entity="l_suppkey"), doubles=tuple(averages))
+    return daily_averages(lines, "d", averages, entity="l_suppkey").withColumns({c: average(c) for c in averages})
 
 
 def group_count_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -219,10 +219,8 @@ select cast(o_orderdate as date) as d,
        max(case when o_orderpriority = '2-HIGH' then o_totalprice end) as high
 from orders where o_orderstatus = 'F' group by cast(o_orderdate as date)
 """,
-    "daily_avg_distinct": """
-select cast(l_shipdate as date) as d,
-       cast(sum(cast(l_quantity as decimal(18,2))) as double) / count(l_quantity) as avg_qty,
-       cast(sum(cast(l_extendedprice as decimal(18,2))) as double) / count(l_extendedprice) as avg_price,
+    "daily_avg_distinct": f"""
+select cast(l_shipdate as date) as d, {average_sql("l_quantity")} as avg_qty, {average_sql("l_extendedprice")} as avg_price,
        count(distinct l_suppkey) as entities_reported
 from lineitem group by cast(l_shipdate as date)
 """,

@@ -25,6 +25,11 @@ def duration_seconds(started_at: Column, ended_at: Column) -> Column:
 
 
 def parse_utc(text: Column) -> Column:
-    """An ISO time as TIMESTAMP: a zone in the text wins, no zone means UTC, unreadable is NULL."""
-    has_zone = text.rlike(r"(Z|[+-]\d{2}:?\d{2})$") & text.contains(":")
-    return F.when(has_zone, text.try_cast("timestamp")).otherwise(F.concat(text, F.lit("Z")).try_cast("timestamp"))
+    """An ISO time as TIMESTAMP: a zone in the text wins, no zone means UTC, unreadable is NULL.
+
+    Seconds, or the whole time of day, may be missing.
+    """
+    full = F.regexp_replace(text, r"^(\d{4}-\d{2}-\d{2})$", "$1T00:00:00")
+    full = F.regexp_replace(full, r"^(\S+[T ]\d{2}:\d{2})(Z|[+-]\d{2}:?\d{2})?$", "$1:00$2")
+    zoned = F.when(full.rlike(r":\d{2}(\.\d+)?$") & ~full.rlike(r"[+-]\d{2}:\d{2}$"), F.concat(full, F.lit("Z"))).otherwise(full)
+    return zoned.try_cast("timestamp")
