@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from catalog.frames import REGISTRY_SQL, RUN_LOG_SQL, error_log, events, out, raw_crypto, raw_fx, raw_weather, registry, run_log, table
 from catalog.models import SNAPSHOT_SQL, STG_CRYPTO_SQL, STG_FX_SQL, STG_WEATHER_SQL
+from tidemark import shared_path
 from tidemark.operators import date_dim_for
 from tidemark.plans import market
 from tidemark.plans.contracts import control_checks, run_contracts
@@ -101,21 +102,27 @@ def dq_ddl_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staging = {
-        "stg_weather": market.stg_weather(raw_weather(spark, sf_dir)),
-        "stg_crypto_prices": market.stg_crypto_prices(raw_crypto(spark, sf_dir)),
-        "stg_fx_rates": market.stg_fx_rates(raw_fx(spark, sf_dir)),
-    }
-    snapshot = market.snapshot_from_staging(
-        staging["stg_weather"], staging["stg_crypto_prices"], staging["stg_fx_rates"]
-    )
+    """All 31 declared checks. Models that take a shuffle to build are stored once, not rebuilt per check."""
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        path = shared_path(spark, name)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    weather = stored(market.stg_weather(raw_weather(spark, sf_dir)), "stg_weather")
+    fx = stored(market.stg_fx_rates(raw_fx(spark, sf_dir)), "stg_fx_rates")
+    crypto = market.stg_crypto_prices(raw_crypto(spark, sf_dir))
     dim = date_dim_for(raw_fx(spark, sf_dir), "extracted_date")
-    gold = {
+    fact = stored(market.fct_market_snapshot(market.snapshot_from_staging(weather, crypto, fx), dim), "fct_market_snapshot")
+    models = {
+        "stg_weather": weather,
+        "stg_crypto_prices": crypto,
+        "stg_fx_rates": fx,
         "dim_date": dim,
-        "fct_market_snapshot": market.fct_market_snapshot(snapshot, dim),
-        "fct_crypto_price_ticks": staging["stg_crypto_prices"],
+        "fct_market_snapshot": fact,
+        "fct_crypto_price_ticks": crypto,
     }
-    return run_contracts({**staging, **gold}, AS_OF)
+    return run_contracts(models, AS_OF)
 
 
 QUERIES = {

@@ -27,9 +27,17 @@ def duration_seconds(started_at: Column, ended_at: Column) -> Column:
 def parse_utc(text: Column) -> Column:
     """An ISO time as TIMESTAMP: a zone in the text wins, no zone means UTC, unreadable is NULL.
 
-    Seconds, or the whole time of day, may be missing.
+    Seconds, or the whole time of day, may be missing. The usual zone-less forms are
+    told by their length, so that only unusual ones pay for a pattern.
     """
-    full = F.regexp_replace(text, r"^(\d{4}-\d{2}-\d{2})$", "$1T00:00:00")
-    full = F.regexp_replace(full, r"^(\S+[T ]\d{2}:\d{2})(Z|[+-]\d{2}:?\d{2})?$", "$1:00$2")
-    zoned = F.when(full.rlike(r":\d{2}(\.\d+)?$") & ~full.rlike(r"[+-]\d{2}:\d{2}$"), F.concat(full, F.lit("Z"))).otherwise(full)
-    return zoned.try_cast("timestamp")
+    length = F.length(text)
+    zone = r"(Z|[+-]\d{2}(:?\d{2})?)$"
+    completed = (
+        F.when(length == len("yyyy-mm-dd"), F.concat(text, F.lit("T00:00:00Z")))
+        .when(length == len("yyyy-mm-ddThh:mm"), F.concat(text, F.lit(":00Z")))
+        .when(length == len("yyyy-mm-ddThh:mm:ss"), F.concat(text, F.lit("Z")))
+        .when(text.rlike(r"^\S{10}[T ]\d{2}:\d{2}" + zone), F.regexp_replace(text, zone, ":00$1"))
+        .when(text.rlike(zone), text)
+        .otherwise(F.concat(text, F.lit("Z")))
+    )
+    return completed.try_cast("timestamp")
