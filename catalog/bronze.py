@@ -59,7 +59,7 @@ def landing_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archive every poll, then read the archive back."""
     root = shared_path(spark, "archive")
     write_archive(crypto_polls(spark, sf_dir), root)
-    return out(read_archive(spark, root), times=("captured_at",))
+    return out(read_archive(spark, root).drop("extracted_date"), times=("captured_at",))
 
 
 def payload_array_inline(spark: SparkSession, sf_dir: str) -> DataFrame:

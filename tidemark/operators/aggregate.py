@@ -14,16 +14,19 @@ def daily_averages(
     averages: Mapping[str, str | Column],
     entity: str | None = None,
     entities_as: str = "entities_reported",
+    approximate: bool = False,
 ) -> DataFrame:
     """Averages per day, and the number of distinct entities behind them.
 
     One distinct column beside plain averages plans as two exchanges, the first on
     (day, entity) after a partial aggregate, so even a day holding most rows is cut
-    to one row per entity before the second.
+    to one row per entity before the second. ``approximate`` trades the exact number for
+    a sketch of fixed size and a single exchange.
     """
     measures = [F.avg(source).alias(name) for name, source in averages.items()]
     if entity is not None:
-        measures.append(F.countDistinct(entity).alias(entities_as))
+        count = F.approx_count_distinct(entity) if approximate else F.countDistinct(entity)
+        measures.append(count.alias(entities_as))
     return df.groupBy(day).agg(*measures)
 
 

@@ -21,16 +21,32 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "256m",
+    # State of streaming deduplication and closes outgrows the heap; RocksDB keeps it on disk.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Checkpointed key sets are removed once nothing refers to them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
 }
 
+SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
 
-def build_session(app_name: str = "tidemark", master: str | None = None, **overrides: str) -> SparkSession:
-    """A session with the defaults above; ``overrides`` use ``__`` for dots."""
+
+def build_session(
+    app_name: str = "tidemark", master: str | None = None, shuffle_bytes: int | None = None, **overrides: str
+) -> SparkSession:
+    """A session with the defaults above; ``overrides`` use ``__`` for dots.
+
+    ``shuffle_bytes``, the size of the largest shuffle to expect, sets how many partitions
+    AQE starts from. It can merge small ones at run time but not split a shuffle written
+    too coarsely, and Spark's default of 200 would make 100 TB into half-terabyte tasks.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     settings = dict(DEFAULTS)
+    if shuffle_bytes is not None:
+        partitions = max(200, -(-shuffle_bytes // SHUFFLE_PARTITION_BYTES))
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(partitions)
     settings.update({key.replace("__", "."): value for key, value in overrides.items()})
     for key, value in settings.items():
         builder = builder.config(key, value)

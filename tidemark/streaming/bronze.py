@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-from tidemark.sources.landing import from_envelopes, from_objects
+from tidemark.sources.landing import ARCHIVE, from_objects
 from tidemark.sources.registry import route
 
 # Fixed value: the poll interval of the feed.
@@ -24,7 +24,7 @@ def stream_landing(spark: SparkSession, root: str, packed: bool = True, max_file
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if packed:
-        return from_envelopes(reader.text(root))
+        return reader.schema(ARCHIVE).parquet(root)
     # wholetext must be an argument: as an option of readStream.text it is ignored.
     return from_objects(reader.option("recursiveFileLookup", "true").text(root, wholetext=True))
 
