@@ -24,7 +24,7 @@ from catalog.models import fact_sql, measures, snapshot_sql
 from tidemark import shared_path
 from tidemark.functions import archive_key, config_fallback, utc_date
 from tidemark.plans.ingest import Warehouse, ingest_run
-from tidemark.plans.pipeline import build_market
+from tidemark.plans.build import build_market
 from tidemark.schemas import RAW_CRYPTO, RAW_FX, RAW_WEATHER
 from tidemark.sources import (
     append_bronze,
@@ -164,7 +164,7 @@ def market_snapshot_e2e(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = read_archive(spark, archive)
     registry = default_sources(spark, CREATED_AT)
     for owner in ("daily_pipeline", "crypto_realtime_pipeline"):
-        failed = [r for r in ingest_run(spark, registry, owner, landing, warehouse, "run") if r["status"] != "success"]
+        failed = [r for r in ingest_run(spark, registry, owner, landing, warehouse, "run", clustered=True) if r["status"] != "success"]
         if failed:
             raise RuntimeError(str(failed))
     schemas = {"raw_weather": RAW_WEATHER, "raw_crypto": RAW_CRYPTO, "raw_fx": RAW_FX}
