@@ -237,7 +237,7 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 RUN_LOG_SQL = """
-select cast(cast(ts as date) as varchar) as dag_run_id, event_type as task_id, user_id as source_id,
+select cast(cast(ts as date) as varchar) as dag_run_id, event_type as task_id, cast(user_id as integer) as source_id,
        case when event_type = 'error' then 'failed' else 'success' end as status,
        case when event_type <> 'error' then event_id end as rows_loaded, ts as started_at,
        ts + to_microseconds(cast(round(value * 1e6) as bigint)) as ended_at, event_id
@@ -279,7 +279,7 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY_SQL = """
-select s_suppkey as source_id, s_name as source_name, 'landing' as base_url, 'nation-' || s_nationkey as endpoint_path,
+select cast(s_suppkey as integer) as source_id, s_name as source_name, 'landing' as base_url, 'nation-' || s_nationkey as endpoint_path,
        'GET' as http_method, case when s_acctbal < 0 then 'token' else 'none' end as auth_type, cast(null as varchar) as auth_conn_id,
        '{}' as query_params, 'bronze.raw_fx' as target_bronze_table,
        case when s_acctbal > 5000 then 'incremental' when s_acctbal > 1000 then 'full' else 'delta' end as load_type,
