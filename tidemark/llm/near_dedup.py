@@ -30,6 +30,8 @@ PERMUTATIONS = TREES * VALUES
 SLACK = 15
 #: Shingles of one cluster settled in one task (8 bytes each).
 CLUSTER_SHINGLES = 4_000_000
+#: Bits of the bitmap that tells which texts' sets are wanted; with more sets than that, ever more texts are.
+MARKS = 1 << 24
 #: Rows of a region compared in one go.
 REGION_ROWS = 4_096
 
@@ -228,15 +230,24 @@ def _clusters(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Re
         yield settle()
 
 
-def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Give each text's set in place of the text; texts of another set with the same id are left out."""
+def _full_sets(batches: Iterator[pa.RecordBatch], marks: bytes) -> Iterator[pa.RecordBatch]:
+    """Identity and set of the texts whose ``bit`` is marked."""
+    marked = np.frombuffer(marks, np.uint8)
     for batch in batches:
-        sets = list(shingle_sets(batch.column("text")))
-        keep = [i for i, name in enumerate(batch.column("cls").to_pylist()) if len(sets[i]) and _identity(sets[i]) == name]
-        picked = batch.take(pa.array(keep, pa.int64()))
-        yield pa.RecordBatch.from_arrays(
-            [picked.column("cluster"), picked.column("cls"), pa.array([sets[i].tobytes() for i in keep], pa.binary())], names=["cluster", "cls", "held"]
-        )
+        bits = batch.column("bit").to_numpy()
+        picked = batch.column("text").take(pa.array(np.flatnonzero((marked[bits >> 3] >> (bits & 7)) & 1)))
+        sets = [s for s in shingle_sets(picked) if len(s)]
+        yield pa.RecordBatch.from_arrays([pa.array([_identity(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["cls", "held"])
+
+
+def _marks(bits: DataFrame) -> bytes:
+    """A bitmap of ``MARKS`` bits, whatever the size of the table, with each ``bit`` set."""
+    chunk = 8 * 4096
+    rows = bits.groupBy(F.expr(f"bit div {chunk}").cast("int").alias("chunk")).agg(F.bitmap_construct_agg(F.col("bit") % chunk).alias("marks")).collect()
+    out = bytearray(MARKS // 8)
+    for row in rows:
+        out[row["chunk"] * 4096 : (row["chunk"] + 1) * 4096] = row["marks"]
+    return bytes(out)
 
 
 def _against_first(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -297,13 +308,12 @@ def near_duplicates(docs: DataFrame, percent: int = 85, cluster_shingles: int =
         F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature"), F.first("labels").alias("labels")
     )
     classes = store(classes, "classes")
-    trees = classes.select(
-        "cls",
-        "signature",
-        F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.struct(F.get("labels", 2 * t).alias("label"), F.get("labels", 2 * t + 1).alias("deep")))).alias("tree", "at"),
-    ).select("tree", "at.label", "at.deep", "cls", "signature")
-    shared = trees.groupBy("tree", "label").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    ordered = store(trees.join(shared, ["tree", "label"], "left_semi"), "trees")
+    at = F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.get("labels", 2 * t))
+    trees = classes.select("cls", F.posexplode(at).alias("tree", "label"))
+    # Both sides grow with the table, so neither is ever broadcast.
+    shared = trees.groupBy("tree", "label").agg(F.count("*").alias("n")).where("n > 1").select("tree", "label").hint("merge")
+    shared = store(trees.join(shared, ["tree", "label"], "left_semi"), "trees")
+    ordered = shared.join(classes.select("cls", "signature", "labels"), "cls").withColumn("deep", F.get("labels", 2 * F.col("tree") + 1)).drop("labels")
     # With ``cls`` in the order, even equal signatures are dealt over partitions.
     runs = ordered.repartitionByRange("tree", "label", "deep", "cls").sortWithinPartitions("tree", "label", "deep", "cls")
     run_schema = "a binary, b binary, tree int, label long, signature binary"
@@ -313,11 +323,14 @@ def near_duplicates(docs: DataFrame, percent: int = 85, cluster_shingles: int =
     more = in_arrow(cut, partial(_regions, whole=True, agree=agree), run_schema)
     clusters = connected(found.where("b is not null").select("a", "b").union(more.select("a", "b")))
     # The whole sets of the candidates, once each.
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(MARKS))
     wanted = classes.select("cls", "doc_id").join(clusters.select(F.col("node").alias("cls"), F.col("root").alias("cluster")), "cls")
     wanted = store(wanted, "wanted")
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
-    texts = texts.join(wanted, texts["id"].eqNullSafe(wanted["doc_id"])).select("text", "cls", "cluster")
-    members = store(in_arrow(texts, _full_sets, "cluster binary, cls binary, held binary").dropDuplicates(["cls"]), "members")
+    # Sets are made anew where a mark says that the text may be wanted; texts are not shuffled.
+    marks = _marks(wanted.select(bit.alias("bit")))
+    sets = in_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").select(bit.alias("bit"), "text"), partial(_full_sets, marks=marks), "cls binary, held binary")
+    members = sets.join(wanted.select("cls", "cluster"), "cls").dropDuplicates(["cls"]).select("cluster", "cls", "held")
+    members = store(members, "members")
     links = connected(_exact_links(members, percent, cluster_shingles))
     rooted = classes.select("cls", "doc_id").join(links.select(F.col("node").alias("cls"), "root"), "cls", "left")
     rooted = rooted.select("cls", "doc_id", F.coalesce("root", "cls").alias("root"))
