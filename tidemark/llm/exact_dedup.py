@@ -21,6 +21,14 @@ CAPACITY = 65_536
 DEPTH = 14
 
 
+#: Bits of the bitmap of keys that occur more than once, and of each of its rows.
+MARKS, CHUNK = 1 << 24, 8 * 4096
+
+
+def _bit() -> Column:
+    return F.pmod("key", F.lit(MARKS))
+
+
 def normalised(text: str = "text") -> Column:
     """Each run of white space as one space; null as the empty text."""
     return F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"[\x20\x09-\x0D]+", " ")
@@ -77,10 +85,16 @@ def exact_duplicates(docs: DataFrame, capacity: int = CAPACITY, depth: int = DEP
     index = keys.withColumn("slot", slot).join(buckets, "slot").drop("slot")
     index = index.repartitionByRange("bucket", "key").sortWithinPartitions("bucket", "key")
     index = store(index, "index")
-    # Chains: the distinct texts of each key that occurs more than once, compared byte by byte.
-    repeated = index.where("size > 1").select("key")
-    chained = texts.join(repeated, "key", "left_semi").groupBy("key", "norm").agg(F.count("*").alias("size"), F.min("doc_id").alias("least"))
-    chained = store(chained.withColumn("links", F.count("*").over(Window.partitionBy("key"))), "chains")
+    # Chains: the distinct texts of each key that occurs more than once, compared byte by byte
+    # and combined before the shuffle. A bitmap of fixed size keeps most other texts out of it.
+    marks = index.where("size > 1").select(_bit().alias("bit")).groupBy(F.expr(f"bit div {CHUNK}").alias("chunk"))
+    marks = F.broadcast(marks.agg(F.bitmap_construct_agg(F.col("bit") % CHUNK).alias("marks")))
+    place = F.col("bit") % CHUNK
+    byte = F.conv(F.hex(F.substring("marks", (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = texts.withColumn("bit", _bit()).join(marks, F.expr(f"bit div {CHUNK}") == F.col("chunk")).where(F.getbit(byte, (place % 8).cast("int")) == 1)
+    chained = marked.groupBy("key", "norm").agg(F.count("*").alias("size"), F.min("doc_id").alias("least"))
+    chained = chained.withColumn("links", F.count("*").over(Window.partitionBy("key"))).where("size > 1 or links > 1")
+    chained = store(chained, "chains")
     single = index.where("size = 1").select("key", "size", "least").union(chained.where("links = 1").select("key", "size", "least"))
     out = entries.join(single, "key", "left")
     crossed = chained.where("links > 1").select("key", "norm", "size", "least")
