@@ -10,33 +10,28 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import mixing, sharding
 from tidemark.llm.common import store, table
-from tidemark.llm.decontaminate import contamination
+from tidemark.llm.decontaminate import uncontaminated
 from tidemark.llm.near_dedup import near_duplicates
 from tidemark.llm.registered import THRESHOLD, WEIGHTS, learned_lexicon, levels
 from tidemark.llm.toxicity import toxicity
 
 
-def _only(docs: DataFrame, rows: DataFrame, flag: str) -> DataFrame:
-    """The documents that ``rows`` (a row each, with ``doc_id``) flags; ids may be null."""
-    kept = rows.where(flag).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_id"]), "left_semi")
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scoring below the threshold; the lexicon is learned from the labelled documents of the source tables."""
     return toxicity(docs, learned_lexicon(spark, sf_dir)).where(F.col("toxicity") < THRESHOLD).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by a similarity of 0.8 or more, the one with the smallest id; rows repeating a kept id count as one."""
-    return _only(docs, near_duplicates(docs, percent=80), "kept").dropDuplicates(["doc_id"])
+    """One document of each group linked by a similarity of 0.8 or more, the one with the smallest id; rows repeating an id count as one."""
+    gone = near_duplicates(docs, percent=80).where("not kept").select(F.col("doc_id").alias("_id")).distinct()
+    rows = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_id"]), "left_anti")
+    repeated = docs.groupBy("doc_id").count().where("count > 1")
+    return rows if repeated.isEmpty() else rows.dropDuplicates(["doc_id"])
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents not contaminated with benchmark passages; of rows that repeat an id, all go if one is."""
-    found = contamination(docs, table(spark, sf_dir, "benchmark"))
-    bad = found.where("contaminated").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_id"]), "left_anti")
+    """Documents without enough benchmark passages to be contaminated."""
+    return uncontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from functools import lru_cache
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import in_arrow, store
@@ -97,12 +97,12 @@ def _search(items: tuple[tuple[str, str | None], ...], window: int):
         machine = _automaton(items, window)
         for batch in batches:
             words, hits, names = [], [], []
-            for value, hit_before, found_before in zip(*(batch.column(c) for c in ("text", "hits", "items")), strict=True):
+            for value, hit_before, found_before in zip(*(batch.column(c) for c in ("text", "_hits", "_items")), strict=True):
                 n, hit, found = scan(value.as_py(), machine)
                 words.append(n)
                 hits.append(np.union1d(hit, np.array(hit_before.as_py(), np.int64)) if len(hit_before) else hit)
                 names.append(sorted({*found, *found_before.as_py()}))
-            at = {"n_words": pa.array(words, pa.int64()), "hits": pa.array(hits, pa.list_(pa.int64())), "items": pa.array(names, pa.list_(pa.string()))}
+            at = {"_n_words": pa.array(words, pa.int64()), "_hits": pa.array(hits, pa.list_(pa.int64())), "_items": pa.array(names, pa.list_(pa.string()))}
             yield pa.RecordBatch.from_arrays([at.get(c, batch.column(i)) for i, c in enumerate(batch.schema.names)], names=batch.schema.names)
 
     return run
@@ -120,6 +120,21 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def scanned(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, automaton_bytes: int = AUTOMATON_BYTES) -> DataFrame:
+    """All columns of ``docs`` with ``_n_words``, ``_hits`` and ``_items``, as :func:`contaminated_words` describes them.
+
+    An automaton holds at most ``automaton_bytes`` of items (and one item at least), so its
+    size does not grow with the benchmark; a larger benchmark is searched for in several
+    passes, each writing what it found to the shared folder.
+    """
+    nothing = {"_n_words": F.lit(0).cast("bigint"), "_hits": F.array().cast("array<bigint>"), "_items": F.array().cast("array<string>")}
+    rows = docs.withColumns(nothing)
+    schema = rows.schema
+    for number, items in enumerate(_blocks(benchmark, automaton_bytes)):
+        rows = in_arrow(store(rows, "contaminated") if number else rows, _search(items, window), schema)
+    return rows
+
+
 def contaminated_words(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, automaton_bytes: int = AUTOMATON_BYTES) -> DataFrame:
     """Per row of ``docs``: ``doc_id``, ``n_words``, ``hits``, ``items``, ``spans``.
 
@@ -130,21 +145,17 @@ def contaminated_words(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     without words have no windows; a null item id counts as an empty string; items that
     repeat an id are one item; repeated documents are rows of their own; an empty table on
     either side hits nothing. Other columns are ignored.
-
-    An automaton holds at most ``automaton_bytes`` of items (and one item at least), so its
-    size does not grow with the benchmark; a larger benchmark is searched for in several
-    passes, each writing what it found to the shared folder.
     """
-    names = ("doc_id", "text", "n_words", "hits", "items")
-    kinds = ("bigint", "string", "bigint", "array<bigint>", "array<string>")
-    schema = ", ".join(f"{name} {kind}" for name, kind in zip(names, kinds, strict=True))
-    nothing = {"n_words": F.lit(0).cast("bigint"), "hits": F.array().cast("array<bigint>"), "items": F.array().cast("array<string>")}
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumns(nothing)
-    for number, items in enumerate(_blocks(benchmark, automaton_bytes)):
-        rows = in_arrow(store(rows, "contaminated") if number else rows, _search(items, window), schema)
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = scanned(rows, benchmark, window, automaton_bytes).select("doc_id", "text", *[F.col(f"_{c}").alias(c) for c in ("n_words", "hits", "items")])
     return in_arrow(rows, _spans, "doc_id bigint, n_words bigint, hits array<bigint>, items array<string>, spans array<struct<start:bigint,stop:bigint>>")
 
 
+def is_contaminated(n_hit: Column, n_words: Column, most: int = 20) -> Column:
+    """One word in ``most`` or more is hit."""
+    return (n_hit > 0) & (most * n_hit >= n_words)
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, most: int = 20) -> DataFrame:
     """The report of :func:`contaminated_words`: counts, a digest of the items, and whether ``most * n_hit >= n_words`` with a hit."""
     n_hit = F.size("hits").cast("bigint")
@@ -154,5 +165,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, most: int = 20) -> Data
         n_hit.alias("n_hit"),
         F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-        ((n_hit > 0) & (most * n_hit >= F.col("n_words"))).alias("contaminated"),
+        is_contaminated(n_hit, F.col("n_words"), most).alias("contaminated"),
     )
+
+
+def uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, with their columns, found and dropped in one pass."""
+    rows = scanned(docs, benchmark)
+    return rows.where(~is_contaminated(F.size("_hits"), F.col("_n_words"))).select(*docs.columns)

@@ -46,7 +46,7 @@ _FOR = re.compile(r"(?:^|[\s_-])(?:article|article-?body|content|main|main-?cont
 _AGAINST_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 
 #: Capacities are whole numbers, in hundredths.
-MARKED, PLAUSIBLE, PROSE, LINKS, SHORT, TIE = 900, 250, 200, 400, 60, 90
+MARKED, PLAUSIBLE, PROSE, LINKS, SHORT, TIE = 900, 250, 200, 400, 60, 150
 
 
 @dataclass
