@@ -82,15 +82,6 @@ from events
 """
 
 
-def _in_january(timestamp: str) -> Column:
-    """The same day of the month, in January 1999, as epoch microseconds."""
-    return F.unix_micros(F.lit("1999-01-01").cast("timestamp")) + (F.dayofmonth(timestamp) - 1) * F.lit(MICROS_PER_DAY)
-
-
-def _in_january_sql(timestamp: str) -> str:
-    return f"timestamp '1999-01-01 00:00:00' + to_days(cast(day({timestamp}) - 1 as integer))"
-
-
 def _weather(spark: SparkSession, sf_dir: str, day_micros: Column) -> DataFrame:
     captured = F.timestamp_micros(day_micros + F.col("l_orderkey") * 10 + F.col("l_linenumber"))
     return table(spark, sf_dir, "lineitem").select(
@@ -177,8 +168,8 @@ from events
 
 
 def weather_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One single-city poll per line item, all captured in January."""
-    bronze = _weather(spark, sf_dir, _in_january("l_shipdate"))
+    """One single-city poll per line item, captured on its ship date."""
+    bronze = _weather(spark, sf_dir, F.unix_micros(instant("l_shipdate")))
     reading = F.struct(
         F.date_format("observed_at", "yyyy-MM-dd'T'HH:mm").alias("time"),
         F.col("temperature_c").cast("double").alias("temperature_2m"),
@@ -194,18 +185,18 @@ def weather_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.select(F.lit("weather").alias("source_name"), "captured_at", F.to_json(F.array(entry)).alias("payload"))
 
 
-WEATHER_POLLS_SQL = _weather_sql(_in_january_sql("l_shipdate"))
+WEATHER_POLLS_SQL = RAW_WEATHER_SQL
 
 
 def fx_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One poll of three rates per order, captured in January; the base is absent from open orders' polls."""
+    """One poll of three rates per order, captured on its date; the base is absent from open orders' polls."""
     status = F.col("o_orderstatus")
     base = F.when(status == "F", "USD").when(status == "P", "EUR")
     price = F.col("o_totalprice")
     rates = F.create_map(F.lit("GBP"), price, F.lit("EUR"), price / 2, F.lit("JPY"), price * 2)
     return table(spark, sf_dir, "orders").select(
         F.lit("fx").alias("source_name"),
-        F.timestamp_micros(_in_january("o_orderdate") + F.col("o_orderkey")).alias("captured_at"),
+        shifted(instant("o_orderdate"), F.col("o_orderkey")).alias("captured_at"),
         F.to_json(F.struct(base.alias("base"), F.to_date("o_orderdate").cast("string").alias("date"), rates.alias("rates"))).alias(
             "payload"
         ),
@@ -215,7 +206,7 @@ def fx_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
 FX_POLLS_SQL = f"""
 select base_currency, quote_currency, o_totalprice * factor as rate, captured_at, cast(captured_at as date) as extracted_date
 from (select case when o_orderstatus = 'P' then 'EUR' else 'USD' end as base_currency, o_totalprice,
-             {_in_january_sql("o_orderdate")} + to_microseconds(o_orderkey) as captured_at from orders) p
+             o_orderdate + to_microseconds(o_orderkey) as captured_at from orders) p
 cross join (values ('GBP', 1.0::double), ('EUR', 0.5::double), ('JPY', 2.0::double)) q(quote_currency, factor)
 """
 

@@ -79,7 +79,7 @@ def _daily_sides(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
         table(spark, sf_dir, "lineitem").withColumn("d", F.to_date("l_shipdate")), "d", {}, entity="l_suppkey"
     )
     ticks = events(spark, sf_dir).withColumn("d", F.date_sub("extracted_date", SHIFT_DAYS))
-    rates = table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "F").withColumn("d", F.to_date("o_orderdate"))
+    rates = table(spark, sf_dir, "orders").withColumn("d", F.to_date("o_orderdate"))
     return [
         readings,
         pivot_max(ticks, ["d"], "event_type", "value", {"click": "click_max"}),
@@ -233,7 +233,7 @@ from lineitem group by l_returnflag, l_linestatus
 with w as (select cast(l_shipdate as date) as d, count(distinct l_suppkey) as entities_reported from lineitem group by 1),
      k as (select cast(ts as date) - 9131 as d, max(case when event_type = 'click' then value end) as click_max from events group by 1),
      f as (select cast(o_orderdate as date) as d, max(case when o_orderpriority = '1-URGENT' then o_totalprice end) as urgent
-           from orders where o_orderstatus = 'F' group by 1)
+           from orders group by 1)
 select coalesce(w.d, k.d, f.d) as snapshot_date, w.entities_reported, k.click_max, f.urgent
 from w full outer join k on w.d = k.d full outer join f on coalesce(w.d, k.d) = f.d
 """,

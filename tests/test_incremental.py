@@ -11,6 +11,7 @@ from tidemark import shared_path
 from tidemark.functions import utc_date
 from tidemark.operators import IncrementalTable, late_data_report, replace_matching
 from tidemark.operators.incremental import _DONE, _STAGED
+from tidemark.session import path_exists
 
 HOUR = 3_600_000_000
 FEW = settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -199,3 +200,30 @@ def test_late_report_agrees_with_real_loads(spark):
     report = {r["day"]: (r["picked_up"], r["missed"]) for r in late_data_report(df, "t", "day").collect()}
     assert report == {0: (2, 0), 1: (1, 2), 2: (2, 1)}
     assert {day: n for day, (n, _) in report.items()} == picked
+
+
+def test_an_event_moved_to_another_day_replaces_the_old_one(spark):
+    table = IncrementalTable(shared_path(spark, "moved"), ["id"], "at", "day")
+
+    def rows(*data):
+        df = spark.createDataFrame([(n, v, d) for n, v, d in data], "id int, v string, d string")
+        return df.select("id", "v", F.to_timestamp("d").alias("at"), F.to_date("d").alias("day"))
+
+    table.load(rows((1, "a", "2024-01-01"), (2, "b", "2024-01-02"), (3, "c", "2024-01-02")))
+    table.upsert(rows((1, "new", "2024-01-03"), (2, "new", "2024-01-01")))
+    got = sorted((r["id"], r["v"], str(r["day"])) for r in table.read(spark).collect())
+    assert got == [(1, "new", "2024-01-03"), (2, "new", "2024-01-01"), (3, "c", "2024-01-02")]
+    # A day may lose all its rows.
+    table.upsert(rows((3, "d", "2024-01-03")))
+    assert sorted((r["id"], str(r["day"])) for r in table.read(spark).collect()) == [(1, "2024-01-03"), (2, "2024-01-01"), (3, "2024-01-03")]
+    assert not path_exists(spark, f"{table.log_path}/staged/load=2")
+
+
+def test_rows_without_a_watermark_are_kept(spark):
+    table = IncrementalTable(shared_path(spark, "untimed"), ["id"], "at", "day")
+    df = spark.createDataFrame([(1, "2024-01-01"), (2, None)], "id int, d string")
+    rows = df.select("id", F.to_timestamp("d").alias("at"), F.to_date("d").alias("day"))
+    table.load(rows.where("id = 1"))
+    table.upsert(rows)
+    table.upsert(rows.where("at is null"))
+    assert sorted(r["id"] for r in table.read(spark, rows.schema).collect()) == [1, 2]

@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-import logging
 from decimal import Decimal
 
 import pytest
@@ -10,7 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tidemark import shared_path
-from tidemark.plans.ingest import Warehouse, ingest_run, ingest_source, may_proceed
+from tidemark.plans.ingest import Warehouse, ingest_run, ingest_source, may_proceed, record_attempts
 from tidemark.schemas import CITIES_CONFIG, LANDING, RAW_CRYPTO, RAW_FX, RAW_WEATHER, SYMBOLS_CONFIG
 from tidemark.sources import (
     active_sources,
@@ -55,13 +54,13 @@ def ticker(symbol="BTCUSDT", price="1", change="0"):
 
 
 def test_crypto_rows(spark):
-    polls = landing(spark, "crypto", [ticker("BTCUSDT", "65000.50", "-1.25"), ticker("ETHUSDT", "3200.10", "0.40"), ticker("BTCEUR")])
+    polls = landing(spark, "crypto", [ticker("ADAUSDT", "0.75", "12"), ticker("USDTRY", "30"), ticker("XRPUSDT", "7", "-0.125")])
     rows = parse_crypto(polls).rows
     assert rows.columns == RAW_CRYPTO.names
     assert [f.dataType for f in rows.schema] == [f.dataType for f in RAW_CRYPTO]
     got = values(rows, "coin_id", "vs_currency", "price", "market_cap", "price_change_24h_pct")
-    assert got[0] == ("BTC", "usdt", Decimal("65000.50"), None, Decimal("-1.25"))
-    assert [g[0] for g in got] == ["BTC", "ETH", "BTCEUR"] and {g[1] for g in got} == {"usdt"}
+    assert got[2] == ("XRP", "usdt", Decimal("7"), None, Decimal("-0.125"))
+    assert [g[0] for g in got] == ["ADA", "USDTRY", "XRP"] and {g[1] for g in got} == {"usdt"}
 
 
 def test_crypto_rows_share_capture_time_key_and_day(spark):
@@ -112,13 +111,13 @@ def test_crypto_numbers_through_double(spark):
 
 
 def test_fx_one_row_per_quote(spark):
-    polls = landing(spark, "fx", {"base": "USD", "date": "2026-09-28", "rates": {"GBP": 0.75, "EUR": 0.88}})
+    polls = landing(spark, "fx", {"rates": {"SEK": 11, "PLN": 4.5}, "base": "NOK", "date": "1999-12-31"})
     rows = parse_fx(polls).rows
     assert rows.columns == RAW_FX.names
     # The day is the capture day, not the published date.
     assert values(rows, "base_currency", "quote_currency", "rate", "extracted_date") == [
-        ("USD", "GBP", Decimal("0.75"), dt.date(2024, 1, 1)),
-        ("USD", "EUR", Decimal("0.88"), dt.date(2024, 1, 1)),
+        ("NOK", "SEK", Decimal("11"), dt.date(2024, 1, 1)),
+        ("NOK", "PLN", Decimal("4.5"), dt.date(2024, 1, 1)),
     ]
 
 
@@ -150,20 +149,20 @@ def test_fx_rejects(spark):
 # -- weather --------------------------------------------------------------------
 
 
-def city(name="London", **changes):
-    current = {"time": "2026-09-29T10:45", "temperature_2m": 14.2, "wind_speed_10m": 11.0, "weather_code": 3}
+def city(name="Oslo", **changes):
+    current = {"time": "2001-02-03T04:05", "temperature_2m": -6.5, "wind_speed_10m": 2.0, "weather_code": 71}
     current.update(changes)
-    return {"city": name, "lat": 51.5, "lon": -0.12, "payload": {"current": {k: v for k, v in current.items() if v != "absent"}}}
+    return {"city": name, "lat": 59.9, "lon": 10.75, "payload": {"current": {k: v for k, v in current.items() if v != "absent"}}}
 
 
 def test_weather_rows(spark):
-    rows = parse_weather(landing(spark, "weather", [city(), city("Tokyo", weather_code="absent", temperature_2m=20)])).rows
+    rows = parse_weather(landing(spark, "weather", [city(), city("Lima", weather_code="absent", temperature_2m=19)])).rows
     assert rows.columns == RAW_WEATHER.names
     assert [f.dataType for f in rows.schema] == [f.dataType for f in RAW_WEATHER]
     got = values(rows, "city", "latitude", "longitude", "temperature_c", "windspeed_kmh", "weather_code", F.col("observed_at").cast("string"))
     assert got == [
-        ("London", Decimal("51.5"), Decimal("-0.12"), Decimal("14.2"), Decimal("11"), 3, "2026-09-29 10:45:00"),
-        ("Tokyo", Decimal("51.5"), Decimal("-0.12"), Decimal("20"), Decimal("11"), None, "2026-09-29 10:45:00"),
+        ("Oslo", Decimal("59.9"), Decimal("10.75"), Decimal("-6.5"), Decimal("2"), 71, "2001-02-03 04:05:00"),
+        ("Lima", Decimal("59.9"), Decimal("10.75"), Decimal("19"), Decimal("2"), None, "2001-02-03 04:05:00"),
     ]
 
 
@@ -229,7 +228,7 @@ def test_bronze_only_grows_and_counts(spark):
 
 
 def test_unknown_source(spark):
-    with pytest.raises(ValueError, match="No parser registered for source_name='nope'"):
+    with pytest.raises(ValueError, match="feed 'nope' cannot be parsed"):
         route(landing(spark, "nope", "{}"), "nope")
 
 
@@ -300,37 +299,51 @@ FX = {"rates": {"GBP": 1, "EUR": 2}}
 
 def test_a_run_loads_and_logs(spark, warehouse):
     times = iter([AT, AT + dt.timedelta(seconds=1.5)])
-    result = ingest_source(spark, source(), landing(spark, "fx", FX), warehouse, "run-1", "task-1", clock=lambda: next(times))
-    assert result == {"source_name": "fx", "status": "success", "rows_loaded": 2}
+    attempt = ingest_source(source(), landing(spark, "fx", FX), warehouse, clock=lambda: next(times))
+    record_attempts(spark, warehouse, "run-1", [attempt])
     log = spark.read.parquet(warehouse.run_log)
     assert values(log, "dag_run_id", "task_id", "source_id", "status", "rows_loaded", "duration_seconds") == [
-        ("run-1", "task-1", 3, "success", 2, 1.5)
+        ("run-1", "extract_fx", 3, "success", 2, 1.5)
     ]
 
 
-def test_a_failed_run_is_logged_and_raised(spark, warehouse):
-    with pytest.raises(PySparkException, match="poll rejected"):
-        ingest_source(spark, source(), landing(spark, "fx", FX, "oops"), warehouse, "run-1", "task-1")
+def test_a_failed_attempt_says_why(spark, warehouse):
+    attempt = ingest_source(source(), landing(spark, "fx", FX, "oops"), warehouse)
+    record_attempts(spark, warehouse, "run-1", [attempt])
     assert values(spark.read.parquet(warehouse.run_log), "status", "rows_loaded") == [("failed", None)]
     error = spark.read.parquet(warehouse.error_log).first()
     assert "poll rejected: fx/1.json" in error["error_message"] and "Traceback" in error["error_traceback"]
 
 
-def boom(*args, **kwargs):
-    raise ConnectionError("log unreachable")
+def test_a_log_that_cannot_be_written_is_no_secret(spark, warehouse, registry, monkeypatch):
+    def boom(*args):
+        raise ConnectionError("log unreachable")
 
+    polls = landing(spark, "fx", FX).unionByName(landing(spark, "weather", [city()]))
+    with monkeypatch.context() as patched, pytest.raises(ConnectionError):
+        patched.setattr("tidemark.plans.ingest.append_run_log", boom)
+        ingest_run(spark, registry, "daily_pipeline", polls, warehouse, "run-1")
+    # The run is repeated and stores nothing twice.
+    results = ingest_run(spark, registry, "daily_pipeline", polls, warehouse, "run-1")
+    assert [r["rows_loaded"] for r in results] == [0, 0]
+    assert read_bronze(spark, warehouse.table("bronze.raw_fx"), RAW_FX).count() == 2
 
-def test_a_log_failure_does_not_hide_the_cause(spark, warehouse, monkeypatch, caplog):
-    monkeypatch.setattr("tidemark.plans.ingest.append_run_log", boom)
-    with caplog.at_level(logging.CRITICAL), pytest.raises(PySparkException, match="poll rejected"):
-        ingest_source(spark, source(), landing(spark, "fx", "oops"), warehouse, "run-1", "task-1")
 
+def test_ingesting_again_adds_only_new_polls(spark, warehouse):
+    for polls, rows in (([FX], 2), ([FX], 0), ([FX, {"rates": {"JPY": 3}}, "oops"], 1), ([FX, {"rates": {"JPY": 3}}, "oops"], 0)):
+        assert ingest_source(source(), landing(spark, "fx", *polls), warehouse, mode="quarantine", clustered=True).rows_loaded == rows
+    assert read_bronze(spark, warehouse.table("bronze.raw_fx"), RAW_FX).count() == 3
+    assert spark.read.parquet(warehouse.table("rejected.fx")).count() == 1
 
-def test_a_log_failure_does_not_fail_a_load(spark, warehouse, monkeypatch, caplog):
-    monkeypatch.setattr("tidemark.plans.ingest.append_run_log", boom)
-    with caplog.at_level(logging.CRITICAL):
-        assert ingest_source(spark, source(), landing(spark, "fx", FX), warehouse, "run-1", "task-1")["rows_loaded"] == 2
-    assert read_bronze(spark, warehouse.table("bronze.raw_fx"), RAW_FX).count() == 2
+
+def test_parallel_sources_are_all_logged(spark, warehouse):
+    rows = [(n, f"feed{n}", "{}", f"bronze.raw_{n}") for n in range(8)]
+    feeds = apply_defaults(spark.createDataFrame(rows, "source_id int, source_name string, query_params string, target_bronze_table string"), {"is_active": True, "owning_dag": "o"})
+    feeds = feeds.selectExpr("*", *[f"cast(null as string) as {c}" for c in ("base_url", "endpoint_path", "http_method", "auth_type", "auth_conn_id", "load_type", "watermark_column")])
+    for n in range(3):
+        ingest_run(spark, feeds, "o", landing(spark, "fx", FX), warehouse, f"run-{n}")
+    assert spark.read.parquet(warehouse.run_log).count() == 24
+    assert "known feeds: crypto, fx, weather" in spark.read.parquet(warehouse.error_log).first()["error_message"]
 
 
 def test_one_failing_source_does_not_stop_the_others(spark, warehouse, registry):
@@ -343,6 +356,5 @@ def test_one_failing_source_does_not_stop_the_others(spark, warehouse, registry)
 
 
 def test_quarantine_keeps_rejected_polls(spark, warehouse):
-    result = ingest_source(spark, source(), landing(spark, "fx", FX, "oops"), warehouse, "run-1", "task-1", mode="quarantine")
-    assert result["rows_loaded"] == 2
+    assert ingest_source(source(), landing(spark, "fx", FX, "oops"), warehouse, mode="quarantine").rows_loaded == 2
     assert values(spark.read.parquet(warehouse.table("rejected.fx")), "object_key", "payload") == [("fx/1.json", "oops")]

@@ -45,7 +45,9 @@ def test_stream_equals_batch_and_survives_restarts(spark):
 def test_rejected_polls_leave_the_stream_whole(spark):
     archive, bronze, rejected = (shared_path(spark, n) for n in ("archive", "bronze", "rejected"))
     write_archive(polls(spark, "fx", [*fx(1, 2), "oops"]), archive)
-    finish(write_bronze(stream_landing(spark, archive), "fx", bronze, f"{bronze}__checkpoint", every=None))
+    with pytest.raises(Exception, match="poll rejected"):
+        finish(write_bronze(stream_landing(spark, archive), "fx", f"{bronze}-strict", f"{bronze}-strict__checkpoint", every=None))
+    finish(write_bronze(stream_landing(spark, archive), "fx", bronze, f"{bronze}__checkpoint", every=None, mode="quarantine"))
     finish(write_rejected(stream_landing(spark, archive), "fx", rejected, f"{rejected}__checkpoint", every=None))
     assert read_bronze(spark, bronze, RAW_FX).count() == 2
     assert [r["reason"] for r in spark.read.parquet(rejected).collect()] == ["not a rates object"]

@@ -9,6 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -48,8 +49,11 @@ def build_session(
         partitions = max(200, -(-shuffle_bytes // SHUFFLE_PARTITION_BYTES))
         settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(partitions)
     settings.update({key.replace("__", "."): value for key, value in overrides.items()})
+    # What the cluster or the caller submitted stays; only the caller's own words override it.
+    submitted = SparkConf()
     for key, value in settings.items():
-        builder = builder.config(key, value)
+        if key.replace(".", "__") in overrides or not submitted.contains(key):
+            builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
@@ -68,7 +72,7 @@ def shared_root(spark: SparkSession) -> str:
     if context.getCheckpointDir() is not None:
         # setCheckpointDir makes a folder of its own below the one it was given.
         return context.getCheckpointDir().rstrip("/")
-    if not context.master.startswith("local"):
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     root = tempfile.mkdtemp(prefix="tidemark-")
     context.setCheckpointDir(root)
@@ -80,6 +84,12 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder with all below it, if it is there, on whatever file system it names."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists on whatever file system it names."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -103,11 +103,8 @@ def route(
     mode: str = "raise",
     parsers: Mapping[str, Callable[..., Parsed]] = PARSERS,
 ) -> Parsed:
-    """Parse the landing rows of one source with its parser."""
-    try:
-        parser = parsers[source_name]
-    except KeyError:
-        raise ValueError(
-            f"No parser registered for source_name={source_name!r}. Add one to tidemark.sources.payloads.PARSERS."
-        ) from None
-    return parser(landing.where(F.col("source_name") == source_name), config, mode)
+    """Rows and rejects of the polls of one source. An unknown feed fails here, before anything is planned."""
+    if source_name not in parsers:
+        raise ValueError(f"feed {source_name!r} cannot be parsed; known feeds: {', '.join(sorted(parsers))}")
+    own = landing.where(F.col("source_name") == source_name)
+    return parsers[source_name](own, config, mode)

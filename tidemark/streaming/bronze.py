@@ -41,12 +41,12 @@ def write_bronze(
     checkpoint: str,
     config: dict | None = None,
     every: str | None = POLL_INTERVAL,
-    mode: str = "quarantine",
+    mode: str = "raise",
 ) -> StreamingQuery:
     """Parse one source's polls and append them to its bronze table.
 
-    Rejected polls are left out here, as a whole, and go to ``write_rejected``; with
-    ``mode='raise'`` the first one stops the query instead.
+    The first rejected poll stops the query. With ``mode='quarantine'`` rejected polls are
+    left out here, as a whole: start ``write_rejected`` beside it, or they are lost.
     """
     rows = route(landing, source_name, config, mode).rows
     writer = rows.writeStream.format("parquet").outputMode("append").partitionBy("extracted_date")
