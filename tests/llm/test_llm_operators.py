@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 import struct
 import zlib
@@ -320,3 +321,28 @@ def test_cut_is_minimum(seed):
     best = min(cost([bool(m >> i & 1) for i in range(n)]) for m in range(2**n))
     assert cost(main_text.source_side(n, terminals, edges)) == best
 
+
+
+def test_toxic_terms_are_chosen_as_by_trying_all():
+    def brute(held, odds):
+        having = {t: {i for i, terms in enumerate(held) if t in terms} for t in odds if any(t in terms for terms in held)}
+        left, need, chosen = {t: len(rows) for t, rows in having.items()}, [toxicity.COVER] * len(held), {}
+        while left:
+            best = max(left, key=lambda t: (left[t] * odds[t], t))
+            if left[best] < 1 and len(having[best]) < toxicity.COMMON * len(held):
+                left.pop(best)
+                continue
+            chosen[best] = odds[best]
+            left = {t: n for t, n in left.items() if t != best and not ((t.startswith(best) or best.startswith(t)) and odds[t] < odds[best] + 1)}
+            for i in having[best]:
+                need[i] -= 1
+                if need[i] == 0:
+                    left = {t: n - (t in held[i]) for t, n in left.items()}
+        return chosen
+
+    draw = random.Random(5)
+    for _ in range(60):
+        words = ["".join(draw.choices("abc", k=draw.randint(2, 5))) for _ in range(60)]
+        odds = {w: draw.choice([2.0, 2.5, 3.5, 4.0]) for w in words}
+        held = [sorted(draw.sample(sorted(odds), draw.randint(0, 6))) for _ in range(40)]
+        assert list(toxicity._cover(held, odds).items()) == list(brute(held, odds).items())

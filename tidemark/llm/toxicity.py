@@ -7,11 +7,13 @@ beginnings; their weights are learned from labelled documents.
 
 from __future__ import annotations
 
+import heapq
 import math
 import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import islice, takewhile
 
 import ahocorasick
 import numpy as np
@@ -154,6 +156,50 @@ def _held(terms: frozenset[str]):
     return run
 
 
+def _cover(held: list[list[str]], odds: dict[str, float], most: int = TERMS) -> dict[str, float]:
+    """The terms chosen with their weights, from the terms that each toxic document of the sample holds.
+
+    The next is the one that helps most documents still short of ``COVER`` terms, by weight.
+    What a term gains only falls as others are chosen, so an outdated place in the queue is
+    too far forward, and a term is put back when its turn comes.
+    """
+    having: dict[str, set[int]] = defaultdict(set)
+    for i, terms in enumerate(held):
+        for term in terms:
+            having[term].add(i)
+    ordered = sorted(having)
+    rank = {term: place for place, term in enumerate(ordered)}
+    gain = {term: len(rows) for term, rows in having.items()}
+    queue = [(-gain[term] * odds[term], -rank[term]) for term in ordered]
+    heapq.heapify(queue)
+    weights: dict[str, float] = {}
+    need = [COVER] * len(held)
+    while queue and len(weights) < most:
+        value, place = heapq.heappop(queue)
+        term = ordered[-place]
+        if term not in gain:
+            continue
+        if value != -gain[term] * odds[term]:
+            heapq.heappush(queue, (-gain[term] * odds[term], place))
+            continue
+        if gain[term] < 1 and len(having[term]) < COMMON * len(held):
+            del gain[term]
+            continue
+        weights[term] = odds[term]
+        # A shorter form of a chosen term finds its words and others, a longer one fewer of them; neither is wanted unless it tells more.
+        longer = takewhile(lambda other: other.startswith(term), islice(ordered, rank[term], None))
+        for other in [*longer, *(term[:n] for n in range(1, len(term)))]:
+            if other in gain and (other == term or odds[other] < weights[term] + 1):
+                del gain[other]
+        for i in having[term]:
+            need[i] -= 1
+            if need[i] == 0:
+                for other in held[i]:
+                    if other in gain:
+                        gain[other] -= 1
+    return weights
+
+
 def learn(docs: DataFrame, labels: DataFrame, learnable: Column, most: int = SAMPLE, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
     """A lexicon from at most ``most`` labelled documents of each class.
 
@@ -173,27 +219,7 @@ def learn(docs: DataFrame, labels: DataFrame, learnable: Column, most: int = SAM
     groups = {row["term"]: row for row in rows}
     closed = set(groups) - {t[:-1] for t, row in groups.items() if t[:-1] in groups and groups[t[:-1]]["toxic"] == row["toxic"]}
     held = in_arrow(texts.where("label = 1"), _held(frozenset(closed)), "label int, terms array<string>").select("terms").collect()
-    weights: dict[str, float] = {}
-    need = [COVER] * len(held)
-    having = defaultdict(set)
-    for i, row in enumerate(held):
-        for term in row["terms"]:
-            having[term].add(i)
-    gain = Counter({term: len(rows_) for term, rows_ in having.items()})
-    while gain and len(weights) < TERMS:
-        term = max(gain, key=lambda t: (gain[t] * groups[t]["weight"], t))
-        if gain[term] < 1 and len(having[term]) < COMMON * len(held):
-            gain.pop(term)
-            continue
-        weights[term] = float(groups[term]["weight"])
-        # A shorter form of a chosen term finds its words and others, a longer one fewer of them; neither is wanted unless it tells more.
-        for other in [o for o in gain if o.startswith(term) or term.startswith(o)]:
-            if other == term or groups[other]["weight"] < weights[term] + 1:
-                gain.pop(other)
-        for i in having[term]:
-            need[i] -= 1
-            if need[i] == 0:
-                gain.subtract(other for other in held[i]["terms"] if other in gain)
+    weights = _cover([row["terms"] for row in held], {term: float(groups[term]["weight"]) for term in closed})
     lexicon = Lexicon(weights, exceptions)
     raws = in_arrow(texts.select("label", "text"), _raw(lexicon), "label int, raw double").collect()
     return Lexicon(weights, exceptions, _cut([(row["raw"], row["label"]) for row in raws]))
