@@ -95,14 +95,16 @@ def mix(
         F.expr("if(tokens = 0, 0L, cast(budget as bigint) div tokens)").alias("whole"),
         F.expr("if(tokens = 0, 0L, cast(budget as bigint) % tokens)").alias("over"),
     )
+    # Stored, so that its size is known before the join: dealing rows by leaf would put a hot leaf into one task.
+    plan = store(plan, "mix-plan")
     on = [rows[name] == plan[f"_{name}"] for name in names]
     condition = on[0]
     for one in on[1:]:
         condition = condition & one
     drawn = rows.join(plan, condition).drop(*[f"_{name}" for name in names])
     digest = F.md5(F.concat_ws("/", F.lit(seed), F.col("whole").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    drawn = drawn.withColumn("place", F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"))
-    # The order is 60 bits, so its first ten are the slices' first.
+    # The order is 60 bits, moved up so that its first 14 tell the slices.
+    drawn = drawn.withColumn("place", F.shiftleft(F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"), 4))
     drawn = spread_rank(drawn, names, F.col("place"), [F.col("doc_id"), F.col("tie")], "earlier", F.col("n_tokens"), bits=14)
     last = (F.col("whole") < epochs) & (F.col("earlier") + F.col("n_tokens") <= F.col("over"))
     return drawn.select("doc_id", *names, "n_tokens", "leaf_budget", (F.col("whole") + last.cast("long")).alias("copies"))
