@@ -5,7 +5,7 @@ Each stage's rows are written to the shared folder and read back as the next one
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import mixing, sharding
@@ -21,12 +21,32 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity(docs, learned_lexicon(spark, sf_dir)).where(F.col("toxicity") < THRESHOLD).select(*docs.columns)
 
 
+def row_key() -> Column:
+    """Tells rows of one id, or of none, apart by their text."""
+    return F.xxhash64("text", F.length("text"))
+
+
+def same_row(docs: DataFrame, marked: DataFrame) -> Column:
+    """Rows of ``docs`` meet those of ``marked`` by ``_id``, nulls included, and ``_key``."""
+    return docs["doc_id"].eqNullSafe(marked["_id"]) & (row_key() == marked["_key"])
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by a similarity of 0.8 or more, the one with the smallest id; rows repeating an id count as one."""
-    gone = near_duplicates(docs, percent=80).where("not kept").select(F.col("doc_id").alias("_id")).distinct()
-    rows = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_id"]), "left_anti")
-    repeated = docs.groupBy("doc_id").count().where("count > 1")
-    return rows if repeated.isEmpty() else rows.dropDuplicates(["doc_id"])
+    """One document of each group linked by a similarity of 0.8 or more, the one with the smallest id.
+
+    A null id is larger than any other; of rows with one id the smallest key is taken. Rows
+    repeating both id and text count as one. Others that share an id, or have none, are
+    documents of their own, and those without words are linked with nothing.
+    """
+    found = near_duplicates(docs, percent=80, key=row_key())
+    row = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "key")
+    found = store(found.where("component is not null").select("component", row.alias("row")), "near-rows")
+    # Stored, so that it is broadcast or Spark can split a hot component in the join.
+    first = store(found.groupBy("component").agg(F.min("row").alias("first")), "near-first")
+    gone = found.join(first, "component").where("not (row <=> first)").select(F.col("row.doc_id").alias("_id"), F.col("row.key").alias("_key")).distinct()
+    rows = docs.join(gone, same_row(docs, gone), "left_anti")
+    repeated = docs.groupBy("doc_id", row_key()).count().where("count > 1")
+    return rows if repeated.isEmpty() else rows.withColumn("_key", row_key()).dropDuplicates(["doc_id", "_key"]).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,10 +55,10 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them, from not at all to twice."""
-    mixed = mixing.mix(docs, levels(), WEIGHTS).where("copies > 0").groupBy("doc_id").agg(F.max("copies").cast("int").alias("_copies"))
-    mixed = mixed.withColumnRenamed("doc_id", "_id")
-    rows = docs.join(mixed, docs["doc_id"].eqNullSafe(mixed["_id"]))
+    """Documents as often as the mix takes them, from not at all to twice; rows repeating both id and text as often as the one taken most."""
+    mixed = mixing.mix(docs, levels(), WEIGHTS, key=row_key()).where("copies > 0")
+    mixed = mixed.groupBy(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).agg(F.max("copies").cast("int").alias("_copies"))
+    rows = docs.join(mixed, same_row(docs, mixed))
     return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
 
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import corpus_pipeline
 import pytest
 from compare import differences, duck
+from pyspark.sql import functions as F
+from test_llm_operators import AWKWARD, BASE
 
-from tidemark.llm import registered
+from tidemark.llm import mixing, registered
 
 SF = "/root/testdata/sf0.01"
 
@@ -25,6 +29,36 @@ def test_stages(spark):
     assert max(sizes) - min(sizes) <= 1
 
 
+def kept_near(spark, rows):
+    docs = spark.createDataFrame([(i, t, "src1", "en") for i, t in rows], "doc_id long, text string, source string, lang string")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, SF)
+    assert kept.columns == docs.columns
+    return Counter((r["doc_id"], r["text"]) for r in kept.collect())
+
+
+def test_near_duplicates_are_dropped_by_row(spark):
+    kept = {1, 2, 3, 4, 5, 6, 10, 11, 12, -5}
+    assert kept_near(spark, AWKWARD) == Counter((i, t) for i, t in AWKWARD if i in kept or t == "nobody's text")
+    # No null-id row is a near copy of one with an id; an id repeats, with other texts, and one of its texts is a copy.
+    rows = [(None, "alpha beta"), (None, "gamma delta"), (7, "one text"), (7, "another text"), (8, "another text"), (9, "x y"), (9, "x y"), (None, BASE), (None, BASE), (None, BASE + " more")]
+    got = kept_near(spark, rows)
+    assert sum(n for (i, t), n in got.items() if t.startswith(BASE)) == 1
+    assert Counter({k: n for k, n in got.items() if not k[1].startswith(BASE)}) == Counter([(None, "alpha beta"), (None, "gamma delta"), (7, "one text"), (7, "another text"), (9, "x y")])
+    assert kept_near(spark, [(7, "one text"), (8, "second text")]) == Counter([(7, "one text"), (8, "second text")])
+    assert kept_near(spark, []) == Counter()
+
+
+def test_mix_takes_rows_of_one_id_by_their_own_copies(spark):
+    # Rows without an id in several leaves: each is taken as often as the mix says for it.
+    rows = [(None if i % 2 else 5, f"text {i} " + "w " * (i % 7), f"src{i % 5}", "en" if i % 3 else "fr") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    want = Counter()
+    for r in mixing.mix(docs, registered.levels(), registered.WEIGHTS, key=F.xxhash64("text")).collect():
+        want[r["doc_id"], r["key"]] += r["copies"]
+    got = corpus_pipeline.mix_sources(spark, docs, SF).select("doc_id", F.xxhash64("text").alias("key")).collect()
+    assert Counter(map(tuple, got)) == +want and len(set(want.values())) > 1
+
+
 @pytest.mark.parametrize("key", sorted(registered.ORACLES))
 def test_matches_sql(spark, key):
     sf = "/root/testdata/sf0.001"

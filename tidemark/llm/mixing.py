@@ -57,6 +57,7 @@ def mix(
     epochs: int = 2,
     seed: str = "mix",
     tokens: Column | None = None,
+    key: Column | None = None,
 ) -> DataFrame:
     """``doc_id``, the ``levels``, ``n_tokens``, ``leaf_budget`` and ``copies`` (0 or more) for every row of ``docs``.
 
@@ -67,6 +68,7 @@ def mix(
     string. Null and empty texts hold no tokens; they are taken where the running total
     fits, so in a leaf without tokens always once. Rows that repeat an id and a text
     follow each other. Other columns are ignored. An empty table gives an empty result.
+    With ``key``, a long that tells rows of one id apart, there is a last column ``key``.
     """
     tokens = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)) if tokens is None else tokens
     names = list(levels)
@@ -75,6 +77,7 @@ def mix(
         *[F.coalesce(value.cast("string"), F.lit("")).alias(name) for name, value in levels.items()],
         tokens.cast("long").alias("n_tokens"),
         F.xxhash64("text").alias("tie"),
+        *([] if key is None else [key.cast("long").alias("key")]),
     )
     rows = store(rows, "mix-rows")
     leaves = store(rows.groupBy(*names).agg(F.sum("n_tokens").alias("tokens")), "mix-leaves")
@@ -107,4 +110,4 @@ def mix(
     drawn = drawn.withColumn("place", F.shiftleft(F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"), 4))
     drawn = spread_rank(drawn, names, F.col("place"), [F.col("doc_id"), F.col("tie")], "earlier", F.col("n_tokens"), bits=14)
     last = (F.col("whole") < epochs) & (F.col("earlier") + F.col("n_tokens") <= F.col("over"))
-    return drawn.select("doc_id", *names, "n_tokens", "leaf_budget", (F.col("whole") + last.cast("long")).alias("copies"))
+    return drawn.select("doc_id", *names, "n_tokens", "leaf_budget", (F.col("whole") + last.cast("long")).alias("copies"), *([] if key is None else ["key"]))

@@ -17,7 +17,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import SPACED, chunks, in_arrow, mix, multipliers, store, texts_of, word_hashes
@@ -97,8 +97,9 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array([_identity(s) if len(s) else None for s in sets], pa.binary()),
                 pa.array([None if i is None else small[i].tobytes() for i in at], pa.binary()),
                 pa.array([None if i is None else labels[i].ravel() for i in at], pa.list_(pa.int64())),
+                *batch.columns[2:],
             ],
-            names=["doc_id", "n_shingles", "cls", "signature", "labels"],
+            names=["doc_id", "n_shingles", "cls", "signature", "labels", *batch.schema.names[2:]],
         )
 
 
@@ -289,7 +290,7 @@ def _exact_links(members: DataFrame, percent: int, most: int) -> DataFrame:
     return light.union(crossed).union(direct)
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85, cluster_shingles: int = CLUSTER_SHINGLES) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 85, cluster_shingles: int = CLUSTER_SHINGLES, key: Column | None = None) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` for every row of ``docs``.
 
     Two documents are linked when ``100 * common >= percent * union`` over their sets of
@@ -299,10 +300,15 @@ def near_duplicates(docs: DataFrame, percent: int = 85, cluster_shingles: int =
     make one shingle. Rows that repeat an id or a text are rows of their own in one
     component; null ids never name one, and a component of null ids alone has a null id and
     keeps its rows. Other columns are ignored. An empty table gives an empty result.
+
+    With ``key``, a long that tells rows of one id apart, there are two more columns: ``key``
+    and ``component``, which names a row's component where ids repeat or are null; it is
+    null for documents without words.
     """
+    carried = [] if key is None else [key.cast("long").alias("key")]
     agree = PERMUTATIONS * (percent - SLACK) // 100
-    schema = "doc_id long, n_shingles long, cls binary, signature binary, labels array<long>"
-    signed = store(in_arrow(docs.select(F.col("doc_id").cast("long"), "text"), _sign, schema), "signed")
+    schema = "doc_id long, n_shingles long, cls binary, signature binary, labels array<long>" + ", key long" * len(carried)
+    signed = store(in_arrow(docs.select(F.col("doc_id").cast("long"), "text", *carried), _sign, schema), "signed")
     # Equal sets, the hottest groups, are one class from here on; nothing below grows with copies.
     classes = signed.where("cls is not null").groupBy("cls").agg(
         F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature"), F.first("labels").alias("labels")
@@ -335,7 +341,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85, cluster_shingles: int =
     rooted = classes.select("cls", "doc_id").join(links.select(F.col("node").alias("cls"), "root"), "cls", "left")
     rooted = rooted.select("cls", "doc_id", F.coalesce("root", "cls").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = rooted.join(smallest, "root").select("cls", "component_id")
-    out = signed.select("doc_id", "n_shingles", "cls").join(named, "cls", "left")
+    named = rooted.join(smallest, "root").select("cls", "component_id", F.col("root").alias("component"))
+    extra = [] if key is None else ["key", "component"]
+    out = signed.drop("signature", "labels").join(named, "cls", "left")
     component = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    out = out.select("doc_id", "n_shingles", component.alias("component_id"), *extra)
+    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), *extra)
