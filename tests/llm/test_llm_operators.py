@@ -102,6 +102,17 @@ def test_a_cluster_too_large_for_a_task_loses_no_link(spark):
     assert found_links(df, 85, cluster_shingles=2_000) == linked(docs, 85)
 
 
+def test_buckets_too_large_for_a_task_lose_no_link(spark):
+    # All share a passage, so that buckets are large and most of their sets are not linked; some are near copies of others.
+    rng = np.random.default_rng(7)
+    passage = [f"p{i}" for i in range(120)]
+    docs = [(i, " ".join([*passage, *(f"own{i // 2 if i % 9 < 2 else i + 1000}x{j}" for j in range(50)), *["z"] * int(rng.integers(1, 4))])) for i in range(400)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(16)
+    want = linked(docs, 85)
+    assert 1 < len({r[2] for r in want}) < 400
+    assert found_links(df, 85, region_rows=8) == want == found_links(df, 85)
+
+
 def test_components(spark):
     rng = np.random.default_rng(1)
     pairs = [(int(a), int(b)) for a, b in rng.integers(0, 300, (170, 2))] + [(7, 7)] + [(1000 + i, 1001 + i) for i in range(40)]

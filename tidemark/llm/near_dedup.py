@@ -1,8 +1,10 @@
-"""Near duplicates by a forest of sorted MinHash signatures, confirmed on full shingle sets.
+"""Near duplicates by banded MinHash signatures, confirmed on full shingle sets.
 
-Each tree orders the distinct sets by its own eight MinHash values. Sets that share a run of
-the order with a common prefix of ``DEPTH`` values are candidates; long runs are read in
-deeper order and cut where a sorted partition ends, so the depth adapts to the region.
+There are sixteen trees of eight MinHash values. Sets whose first ``DEPTH`` values in a tree
+agree share a bucket, so this is banded LSH of fixed depth; the other values only order the
+buckets that are too large for a task. Every two sets of a bucket are candidates: a bucket
+is compared in one task, a larger one first in blocks of its order, and then those sets that
+are not linked to the bucket's largest group meet every block, in block pairs over tasks.
 Candidates whose signatures agree in enough places form clusters, and each cluster is
 settled on the whole sets: breadth-first from its smallest set, comparing only with sets
 that are not linked yet, so a group of copies costs one comparison per set and no pair list.
@@ -32,7 +34,7 @@ SLACK = 15
 CLUSTER_SHINGLES = 4_000_000
 #: Bits of the bitmap that tells which texts' sets are wanted; with more sets than that, ever more texts are.
 MARKS = 1 << 24
-#: Rows of a region compared in one go.
+#: Sets of a bucket compared in one go.
 REGION_ROWS = 4_096
 
 _MIX = multipliers(WORDS + 1, 5)
@@ -117,55 +119,88 @@ def _spanning(marks: np.ndarray, names: list[bytes], agree: int) -> Iterator[tup
             left = left[~near]
 
 
-_RUN = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("tree", pa.int32()), ("label", pa.int64()), ("signature", pa.binary())])
+_EDGES = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
 
-def _regions(batches: Iterator[pa.RecordBatch], whole: bool, agree: int) -> Iterator[pa.RecordBatch]:
-    """Edges within the runs of a sorted partition.
+def _regions(batches: Iterator[pa.RecordBatch], agree: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Edges that span the agreeing sets of each bucket of a sorted partition, in blocks of ``most`` sets."""
+    key, names, marks = None, [], []
 
-    Unless ``whole``, a run at either end may go on in another partition; its sets (of a long
-    run, one of each group found and the outermost) are given out again, without ``b``.
-    """
-    held: list[tuple[tuple[int, int], list[bytes], list[bytes]]] = []  # the open run, in pieces
-    first = True
-
-    def settle(run, outer):
-        key, names, marks = run
-        edges, inner = [], []
-        for a in range(0, len(names), REGION_ROWS):
-            block = names[a : a + REGION_ROWS]
-            found = np.frombuffer(b"".join(marks[a : a + REGION_ROWS]), np.uint8).reshape(-1, PERMUTATIONS)
-            linked = list(_spanning(found, block, agree))
-            edges += linked
-            reached = {b for _, b in linked}
-            inner += [i + a for i, name in enumerate(block) if name not in reached]
-        if len(names) > REGION_ROWS:  # heads of the blocks against each other
-            found = np.frombuffer(b"".join(marks[i] for i in inner), np.uint8).reshape(-1, PERMUTATIONS)
-            edges += _spanning(found, [names[i] for i in inner], agree)
-        out = [(a, b, None, None, None) for a, b in edges]
-        if outer:
-            again = range(len(names)) if len(names) <= 256 else sorted({0, len(names) - 1, *inner})
-            out += [(names[i], None, *key, marks[i]) for i in again]
-        return pa.RecordBatch.from_pylist([dict(zip(_RUN.names, row, strict=True)) for row in out], schema=_RUN)
+    def settle():
+        found = np.frombuffer(b"".join(marks), np.uint8).reshape(-1, PERMUTATIONS)
+        edges = list(_spanning(found, names, agree))
+        return pa.RecordBatch.from_arrays([pa.array([e[i] for e in edges], pa.binary()) for i in (0, 1)], schema=_EDGES)
 
     for batch in batches:
-        trees, labels = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        names, marks = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-        cuts = np.flatnonzero((np.diff(trees) != 0) | (np.diff(labels) != 0)) + 1
-        for a, b in zip([0, *cuts], [*cuts, len(names)], strict=True):
-            if a == b:
-                continue
-            key = (int(trees[a]), int(labels[a]))
-            if held and held[0][0] != key:
-                yield settle(held.pop(), first and not whole)
-                first = False
-            if held:
-                held[0][1].extend(names[a:b])
-                held[0][2].extend(marks[a:b])
-            else:
-                held.append((key, names[a:b], marks[a:b]))
-    if held:
-        yield settle(held.pop(), not whole)
+        for tree, label, name, mark in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            if (tree, label) != key or len(names) == most:
+                if len(names) > 1:
+                    yield settle()
+                key, names, marks = (tree, label), [], []
+            names.append(name)
+            marks.append(mark)
+    if len(names) > 1:
+        yield settle()
+
+
+def _meet(names: list[bytes], marks: np.ndarray, roots: list[bytes], met: np.ndarray, agree: int) -> Iterator[tuple[bytes, bytes]]:
+    """Edges that join the groups of sets that agree, one of the two being ``met``; sets of one root are joined already."""
+    _, group = np.unique(np.array(roots, object), return_inverse=True)
+    base = np.flatnonzero(~met)
+    across = np.ascontiguousarray(marks[base].T)
+    for one in np.flatnonzero(met):
+        apart = group[base] != group[one]
+        if not apart.any():
+            continue
+        near = base[apart & ((across == marks[one][:, None]).sum(axis=0, dtype=np.uint8) >= agree)]
+        joined, firsts = np.unique(group[near], return_index=True)
+        for i in firsts:
+            yield names[near[i]], names[one]
+        if len(joined):
+            group[np.isin(group, joined)] = group[one]
+
+
+def _met(batches: Iterator[pa.RecordBatch], agree: int) -> Iterator[pa.RecordBatch]:
+    """Edges of :func:`_meet` in each block pair of a sorted partition."""
+    key, rows = None, []
+
+    def settle():
+        names, marks, roots, met = zip(*rows, strict=True)
+        edges = list(_meet(names, np.frombuffer(b"".join(marks), np.uint8).reshape(-1, PERMUTATIONS), roots, np.array(met, bool), agree))
+        return pa.RecordBatch.from_arrays([pa.array([e[i] for e in edges], pa.binary()) for i in (0, 1)], schema=_EDGES)
+
+    for batch in batches:
+        for *part, name, mark, root, met in zip(*(batch.column(i).to_pylist() for i in range(8)), strict=True):
+            if part != key and rows:
+                yield settle()
+                rows = []
+            key = part
+            rows.append((name, mark, root, met))
+    if rows:
+        yield settle()
+
+
+def _across_blocks(rows: DataFrame, clusters: DataFrame, agree: int, most: int) -> DataFrame:
+    """Edges between the blocks of large buckets, given ``clusters`` of the edges inside blocks.
+
+    Sets of the bucket's largest cluster need not meet each other; each of the others meets
+    every set of the bucket, at most about ``most`` of them on either side in one task.
+    """
+    rows = rows.join(clusters.select(F.col("node").alias("cls"), "root"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    rows = store(rows.select("tree", "label", "cls", "signature", "root"), "large-buckets")
+    sizes = rows.groupBy("tree", "label", "root").agg(F.count("*").alias("n"))
+    plan = sizes.groupBy("tree", "label").agg(F.sum("n").alias("total"), F.max(F.struct("n", "root")).alias("largest")).where("total > largest.n")
+    blocks = [F.ceil(n / most).cast("int").alias(name) for n, name in ((F.col("total"), "blocks"), (F.col("total") - F.col("largest.n"), "rests"))]
+    # Stored, so that Spark can broadcast it or split a hot bucket in the join.
+    plan = store(plan.select("tree", "label", F.col("largest.root").alias("largest"), *blocks), "bucket-plan")
+    placed = rows.join(plan, ["tree", "label"]).withColumn("h", F.xxhash64("cls"))
+    held = ["cls", "signature", "root"]
+    block, rest = F.expr("pmod(h, blocks)").alias("block"), F.expr("pmod(shiftright(h, 20), rests)").alias("rest")
+    base = placed.select("tree", "label", block, F.explode(F.expr("sequence(0, rests - 1)")).alias("rest"), *held, F.lit(False).alias("met"))
+    met = placed.where("root <> largest").select("tree", "label", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"), rest, *held, F.lit(True).alias("met"))
+    part = ["tree", "label", "block", "rest"]
+    pairs = base.select(*part, *held, "met").union(met.select(*part, *held, "met")).repartition(*part).sortWithinPartitions(*part)
+    return in_arrow(pairs, partial(_met, agree=agree), "a binary, b binary")
 
 
 def _settle(sets: list[np.ndarray], joined: np.ndarray, percent: int) -> list[tuple[int, int]]:
@@ -207,9 +242,6 @@ def _settle(sets: list[np.ndarray], joined: np.ndarray, percent: int) -> list[tu
     return edges
 
 
-_EDGES = pa.schema([("a", pa.binary()), ("b", pa.binary())])
-
-
 def _clusters(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Edges of the exact links inside each cluster of a sorted partition, one cluster in memory at a time."""
     key, rows = None, []
@@ -290,7 +322,7 @@ def _exact_links(members: DataFrame, percent: int, most: int) -> DataFrame:
     return light.union(crossed).union(direct)
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85, cluster_shingles: int = CLUSTER_SHINGLES, key: Column | None = None) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 85, cluster_shingles: int = CLUSTER_SHINGLES, key: Column | None = None, region_rows: int = REGION_ROWS) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` for every row of ``docs``.
 
     Two documents are linked when ``100 * common >= percent * union`` over their sets of
@@ -317,17 +349,25 @@ def near_duplicates(docs: DataFrame, percent: int = 85, cluster_shingles: int =
     at = F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.get("labels", 2 * t))
     trees = classes.select("cls", F.posexplode(at).alias("tree", "label"))
     # Both sides grow with the table, so neither is ever broadcast.
-    shared = trees.groupBy("tree", "label").agg(F.count("*").alias("n")).where("n > 1").select("tree", "label").hint("merge")
-    shared = store(trees.join(shared, ["tree", "label"], "left_semi"), "trees")
-    ordered = shared.join(classes.select("cls", "signature", "labels"), "cls").withColumn("deep", F.get("labels", 2 * F.col("tree") + 1)).drop("labels")
-    # With ``cls`` in the order, even equal signatures are dealt over partitions.
-    runs = ordered.repartitionByRange("tree", "label", "deep", "cls").sortWithinPartitions("tree", "label", "deep", "cls")
-    run_schema = "a binary, b binary, tree int, label long, signature binary"
-    found = store(in_arrow(runs.select("tree", "label", "cls", "signature"), partial(_regions, whole=False, agree=agree), run_schema), "runs")
-    cut = found.where("b is null").select("tree", "label", F.col("a").alias("cls"), "signature")
-    cut = cut.repartition("tree", "label").sortWithinPartitions("tree", "label", "cls")
-    more = in_arrow(cut, partial(_regions, whole=True, agree=agree), run_schema)
-    clusters = connected(found.where("b is not null").select("a", "b").union(more.select("a", "b")))
+    shared = trees.groupBy("tree", "label").agg(F.count("*").alias("n")).where("n > 1")
+    shared = shared.select("tree", "label", (F.col("n") > region_rows).alias("large")).hint("merge")
+    shared = store(trees.join(shared, ["tree", "label"]).select("tree", "label", "cls", "large"), "trees")
+    held = ["tree", "label", "cls", "signature"]
+    regions = partial(_regions, agree=agree, most=region_rows)
+    small = shared.where("not large").join(classes.select("cls", "signature"), "cls").select(*held)
+    found = store(in_arrow(small.repartition("tree", "label").sortWithinPartitions("tree", "label", "cls"), regions, "a binary, b binary"), "runs")
+    large = shared.where("large")
+    if large.isEmpty():
+        clusters = connected(found)
+    else:
+        deep = F.get("labels", 2 * F.col("tree") + 1).alias("deep")
+        large = store(large.join(classes.select("cls", "signature", "labels"), "cls").select(*held, deep), "large")
+        # With ``cls`` in the order, even equal signatures are dealt over partitions.
+        order = ["tree", "label", "deep", "cls"]
+        runs = large.repartitionByRange(*order).sortWithinPartitions(*order).select(*held)
+        clusters = store(connected(found.union(in_arrow(runs, regions, "a binary, b binary"))), "in-blocks")
+        across = _across_blocks(large.select(*held), clusters, agree, region_rows)
+        clusters = connected(clusters.select(F.col("node").alias("a"), F.col("root").alias("b")).union(across))
     # The whole sets of the candidates, once each.
     bit = F.pmod(F.xxhash64("doc_id"), F.lit(MARKS))
     wanted = classes.select("cls", "doc_id").join(clusters.select(F.col("node").alias("cls"), F.col("root").alias("cluster")), "cls")
