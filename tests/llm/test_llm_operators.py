@@ -113,6 +113,15 @@ def test_buckets_too_large_for_a_task_lose_no_link(spark):
     assert found_links(df, 85, region_rows=8) == want == found_links(df, 85)
 
 
+def test_sets_beside_heads_meet_across_blocks():
+    # y and z are one group, whose first set does not agree with x; z does.
+    marks = np.zeros((3, near_dedup.PERMUTATIONS), np.uint8)
+    marks[1, :30], marks[2, :60] = 1, 1
+    names, met = [b"y", b"z", b"x"], np.array([False, False, True])
+    assert list(near_dedup._meet(names, marks, [b"y", b"y", b"x"], met, 90)) == [(b"z", b"x")]
+    assert list(near_dedup._meet(names, marks, [b"y", b"y", b"y"], met, 90)) == []
+
+
 def test_components(spark):
     rng = np.random.default_rng(1)
     pairs = [(int(a), int(b)) for a, b in rng.integers(0, 300, (170, 2))] + [(7, 7)] + [(1000 + i, 1001 + i) for i in range(40)]
