@@ -266,6 +266,18 @@ def test_licenses_of_awkward_rows(spark, awkward, nothing):
     assert got[2][6] in ("", "bsd-3-clause")
 
 
+def test_texts_of_neighbouring_licenses_are_not_the_template(spark):
+    cc = "This work is licensed under a Creative Commons Attribution{} 4.0 International License"
+    gpl = "This work is licensed under the GNU {}General Public License, version {}"
+    others = [cc.format("-NonCommercial-NoDerivatives"), cc.format("-ShareAlike"), cc.format("-Share-Alike"), gpl.format("", 2), gpl.format("Lesser ", 3), gpl.format("", ""), "Licensed under the Apache License, Version 1.1"]
+    same = [(cc.format(""), "cc-by-4.0"), (gpl.format("", 3), "gpl,gpl-3.0"), (gpl.format("", 3).replace("is licensed", "is hereby licensed"), "gpl,gpl-3.0"), ("2 of 3. " + cc.format("") + " and 4 more", "cc-by-4.0")]
+    texts = [*others, *(t for t, _ in same)]
+    df = spark.createDataFrame([(i, f"Not 1 word of it. {t} no 5") for i, t in enumerate(texts)], "doc_id long, text string")
+    rows = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.license_scan(df).collect()}
+    assert [rows[i] for i in range(len(others))] == [("", 0.0), ("", 0.0), ("", 0.0), ("gpl", 0.5), ("gpl", 0.5), ("gpl", 0.5), ("apache", 0.5)]
+    assert [rows[len(others) + i][0] for i in range(len(same))] == [labels for _, labels in same]
+
+
 def test_folding_and_exceptions():
     lexicon = toxicity.Lexicon({"idiot": 5.0, "trash": 4.0}, cut=3.0)
     for text in ("you idiot", "1D10T", "іdіоt", "ｉｄｉｏｔ", "i​diot"):

@@ -4,7 +4,8 @@ Every run of ``K`` words of every text is hashed and joined to the runs of the l
 templates. A match votes for the difference of the two places, the diagonal: words that
 stand in a template's order share one. Neighbouring diagonals, parted by a word left out or
 put in, are merged, and a span counts when its matches, confirmed by a second hash, cover
-enough of the template.
+enough of the template. The span is then verified on the document's words: those that tell
+a license from its neighbours must be the template's, in its order, with none put in.
 """
 
 from __future__ import annotations
@@ -31,6 +32,12 @@ TEMPLATES = {
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
 }
 
+#: Words that decide which license a wording names, besides numbers.
+DECIDING = [
+    "affero", "alike", "cc0", "commercial", "derivatives", "derivs", "lesser", "lgpl", "library", "nc", "nd", "never", "no", "nocommercial",
+    "noderivatives", "noderivs", "non", "noncommercial", "not", "sa", "share", "sharealike",
+]
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -50,10 +57,27 @@ def _runs(words: str) -> Column:
     return F.transform(words, at)
 
 
+def _decides(word: Column) -> Column:
+    return word.isin(DECIDING) | word.rlike("^v?[0-9]+$")
+
+
+def _matching(words: str, hashes: list[int], reach: int) -> Column:
+    """Runs whose hash is one of ``hashes``: place, hashes, and the deciding words from ``reach`` words before to twice as many after."""
+
+    def kept(run: Column) -> Column:
+        start = F.greatest(run["at"] - reach, F.lit(0))
+        around = F.transform(F.slice(F.col(words), start + 1, 3 * reach), lambda w, j: F.struct((start + j).alias("spot"), w.alias("word")))
+        return F.struct(run["at"].alias("at"), run["run"]["h"].alias("h"), run["run"]["check"].alias("check"), F.filter(around, lambda x: _decides(x["word"])).alias("near"))
+
+    runs = F.transform(_runs(words), lambda run, i: F.struct(i.alias("at"), run.alias("run")))
+    return F.transform(F.filter(runs, lambda x: x["run"]["h"].isin(hashes)), kept)
+
+
 def _templates(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
     rows = spark.createDataFrame(sorted(templates.items()), "label string, text string").withColumn("words", words_of(F.col("text")))
     rows = rows.withColumn("runs", F.slice(_runs("words"), 1, F.greatest(F.size("words") - K + 1, F.lit(0))))
-    return rows.select("label", F.size("words").alias("length"), F.posexplode("runs").alias("place", "run")).select("label", "length", "place", "run.h", F.col("run.check").alias("confirm"))
+    rows = rows.select("label", F.size("words").alias("length"), F.filter("words", _decides).alias("must"), F.posexplode("runs").alias("place", "run"))
+    return rows.select("label", "length", "must", "place", "run.h", F.col("run.check").alias("confirm"))
 
 
 def spans(docs: DataFrame, templates: dict[str, str] | None = None, covered: float = COVERED) -> DataFrame:
@@ -63,10 +87,12 @@ def spans(docs: DataFrame, templates: dict[str, str] | None = None, covered: flo
     shorter than a page, so their runs are broadcast.
     """
     known = _templates(docs.sparkSession, TEMPLATES if templates is None else templates)
+    held = known.select("h", "length").distinct().collect()
+    hashes, longest = sorted({r["h"] for r in held}), max((r["length"] for r in held), default=0)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), words_of(F.col("text")).alias("words"))
-    runs = rows.select("doc_id", "text_hash", F.posexplode(_runs("words")).alias("at", "run")).select("doc_id", "text_hash", "at", "run.h", "run.check")
+    runs = rows.select("doc_id", "text_hash", F.explode(_matching("words", hashes, longest)).alias("run")).select("doc_id", "text_hash", "run.*")
     key = ["doc_id", "text_hash", "label", "length"]
-    votes = runs.join(F.broadcast(known), "h").where("check = confirm").select(*key, "at", "place").distinct()
+    votes = runs.join(F.broadcast(known), "h").where("check = confirm").dropDuplicates([*key, "at", "place"]).select(*key, "at", "place", "near", "must")
     votes = votes.withColumn("diagonal", F.col("at") - F.col("place"))
     by_diagonal = Window.partitionBy(*key).orderBy("diagonal", "at")
     opens = F.coalesce((F.col("diagonal") - F.lag("diagonal").over(by_diagonal) > NEIGHBOURS).cast("int"), F.lit(1))
@@ -75,9 +101,20 @@ def spans(docs: DataFrame, templates: dict[str, str] | None = None, covered: flo
     by_place = Window.partitionBy(*key, "merged").orderBy("place", "at")
     votes = votes.withColumn("fresh", F.coalesce(F.least(F.lit(K), F.col("place") - F.lag("place").over(by_place)), F.lit(K)))
     found = votes.groupBy(*key, "merged").agg(
-        F.min("at").alias("first_word"), (F.max("at") + K).alias("end_word"), F.count("*").alias("votes"), (F.sum("fresh") / F.first("length")).alias("coverage")
+        F.min("at").alias("first_word"),
+        (F.max("at") + K).alias("end_word"),
+        F.count("*").alias("votes"),
+        (F.sum("fresh") / F.first("length")).alias("coverage"),
+        F.first("must").alias("must"),
+        F.min_by("near", "at").alias("near"),
+        # Where the whole template would begin and end in the document.
+        F.min_by("diagonal", "at").alias("start"),
+        (F.max_by("diagonal", "at") + F.first("length")).alias("stop"),
+        (F.max("diagonal") - F.min("diagonal")).alias("shifted"),
     )
-    return found.where(F.col("coverage") >= covered).drop("merged", "length")
+    inside = F.filter("near", lambda x: (x["spot"] >= F.col("start")) & (x["spot"] < F.col("stop")))
+    same = (F.transform(inside, lambda x: x["word"]) == F.col("must")) & (F.col("shifted") <= F.greatest(F.lit(NEIGHBOURS), F.col("length") * (1 - covered)))
+    return found.where((F.col("coverage") >= covered) & same).select("doc_id", "text_hash", "label", "first_word", "end_word", "votes", "coverage")
 
 
 def _base(words: str) -> Column:
