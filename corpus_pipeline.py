@@ -75,7 +75,7 @@ STAGES = [
     ("sharding", shard),
 ]
 
-#: Learned weights, signatures and iterated moves have no SQL form; tests/llm compares each stage with brute force.
+#: Learned weights, signatures and iterated moves have no SQL form; tests/llm/test_pipeline.py runs each stage on awkward and empty tables and names the rows it must keep.
 ORACLE_SQL = None
 
 

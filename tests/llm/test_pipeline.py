@@ -59,6 +59,44 @@ def test_mix_takes_rows_of_one_id_by_their_own_copies(spark):
     assert Counter(map(tuple, got)) == +want and len(set(want.values())) > 1
 
 
+@pytest.fixture
+def small(spark, tmp_path):
+    """Awkward documents, and tables beside them to learn and to search from."""
+    held = {
+        "documents": spark.createDataFrame([(i, f"kind words number {i}" if i % 2 else f"wretchedly vile fool {i}") for i in range(100, 200)], "doc_id long, text string"),
+        "labels": spark.createDataFrame([(i, 1, int(i % 2 == 0)) for i in range(100, 200)], "doc_id long, quality int, toxic int"),
+        "benchmark": spark.createDataFrame([(1, "One two"), (2, "nobody's text"), (3, None)], "item_id long, text string"),
+    }
+    for name, rows in held.items():
+        rows.write.parquet(f"{tmp_path}/{name}.parquet")
+    docs = spark.createDataFrame([(i, t, "src1", "en") for i, t in [*AWKWARD, (20, "a vile fool")]], "doc_id long, text string, source string, lang string")
+    return docs, str(tmp_path)
+
+
+def rows_of(df):
+    return Counter((r["doc_id"], r["text"]) for r in df.collect())
+
+
+def test_each_stage_on_awkward_rows(spark, small):
+    docs, sf = small
+    rows = [*AWKWARD, (20, "a vile fool")]
+    lexicon = registered.learned_lexicon(spark, sf)
+    toxic = {t for _, t in rows if lexicon.score(lexicon.raw(t)[0]) >= registered.THRESHOLD}
+    assert toxic == {"a vile fool"}
+    assert rows_of(corpus_pipeline.drop_toxic(spark, docs, sf)) == Counter(r for r in rows if r[1] not in toxic)
+    assert rows_of(corpus_pipeline.drop_contaminated(spark, docs, sf)) == Counter(r for r in rows if r[1] not in ("One two", "nobody's text"))
+    # The budget is all tokens and this is one leaf, so that each document is taken once.
+    assert rows_of(corpus_pipeline.mix_sources(spark, docs, sf)) == Counter(rows)
+    sharded = corpus_pipeline.shard(spark, docs, sf).collect()
+    assert Counter(r["doc_id"] for r in sharded) == Counter(i for i, _ in rows)
+
+
+def test_each_stage_on_an_empty_table(spark, small):
+    docs, sf = small
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.where("false"), sf).collect() == []
+
+
 @pytest.mark.parametrize("key", sorted(registered.ORACLES))
 def test_matches_sql(spark, key):
     sf = "/root/testdata/sf0.001"
