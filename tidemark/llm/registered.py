@@ -7,13 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import licenses, mixing, quality, sharding, toxicity
+from tidemark.llm import licenses, mixing, quality, sharding, spelling, toxicity
+from tidemark.llm.byte_pairs import decode_ids, encode_texts
 from tidemark.llm.common import table
 from tidemark.llm.decontaminate import contamination
 from tidemark.llm.exact_dedup import exact_duplicates
 from tidemark.llm.labelled import remainder
 from tidemark.llm.main_text import main_text
 from tidemark.llm.near_dedup import near_duplicates
+from tidemark.llm.ranked_search import best_documents
 from tidemark.llm.token_output import token_dataset
 
 THRESHOLD = 0.3
@@ -90,6 +92,24 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    encoded = encode_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, pattern)
+    return decode_ids(encoded, ranks, pattern).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_tokens": op2_tokens,
@@ -101,6 +121,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": op8_licenses,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_decontamination": op10_decontamination,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_byte_pairs": op12_byte_pairs,
+    "op13_spelling": op13_spelling,
 }
 
 _SPACED = r"[\x20\x09-\x0D]+"
@@ -226,4 +249,77 @@ select doc_id, cast(len(words) as bigint) as n_words, cast(len(places) as bigint
 from base left join found using (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op5_mixing": OP5_SQL, "op6_exact_duplicates": OP6_SQL, "op8_licenses": OP8_SQL, "op10_decontamination": OP10_SQL}
+_TERMS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def _terms_sql(text: str) -> str:
+    return f"list_filter(string_split_regex(translate(coalesce({text}, ''), '{_UPPER}', '{_LOWER}'), '{_TERMS}'), lambda w: w <> '')"
+
+
+OP11_SQL = f"""
+with docs as (select row_number() over () as row_, doc_id, {_terms_sql("text")} as words from documents),
+items as (select distinct item_id, unnest({_terms_sql("text")}) as term from benchmark),
+corpus as (select count(*) filter (len(words) > 0) as n_docs, cast(sum(len(words)) as bigint) as n_terms from docs),
+postings as (
+    select row_, doc_id, any_value(n) as n, term, count(*) as tf from (select row_, doc_id, len(words) as n, unnest(words) as term from docs)
+    where term in (select term from items) group by row_, doc_id, term
+),
+weights as (
+    select term, cast(floor(1000 * ln(cast(2 * n_docs + 2 as double) / cast(2 * count(*) + 1 as double))) as bigint) as w from postings, corpus group by term, n_docs
+),
+scores as (
+    select item_id, row_, doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms)))) as bigint) as score
+    from items join postings using (term) join weights using (term), corpus group by item_id, row_, doc_id
+),
+ranked as (
+    select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id nulls last) as integer) as rank, doc_id, score from scores where score > 0
+)
+select item_id, rank, doc_id, score from ranked where rank <= 50
+"""
+
+_RUN = "[A-Za-zÀ-ÿ]+"
+# The CRC's table is worked out bit by bit; 3988292384 is its fixed polynomial.
+OP13_SQL = f"""
+with recursive bits as (
+    select list_transform(generate_series(0, 255), lambda i: list_reduce(
+        [cast(i as bigint), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as table_
+),
+runs as (
+    select doc_id, translate(run, '{_UPPER}', '{_LOWER}') as run, count(*) as n
+    from (select doc_id, unnest(regexp_extract_all(coalesce(text, ''), '{_RUN}')) as run from documents) where length(run) >= {spelling.SHORTEST} group by all
+),
+coded as (
+    select run, n, list_transform(string_split(coalesce(cast(doc_id as varchar), '') || ':' || run, ''), lambda c: cast(unicode(c) as bigint)) as points from runs
+),
+bytes_ as (select run, n, flatten(list_transform(points, lambda c: case when c < 128 then [c] else [195, c - 64] end)) as bytes from coded),
+hashed as (
+    select run, n, xor(list_reduce(list_prepend(4294967295, bytes), lambda c, b: xor(c >> 8, table_[(xor(c, b) & 255) + 1])), 4294967295) as h from bytes_, bits
+),
+results as (
+    select case when h % {spelling.DROPPED} = 0 then substr(run, 1, cast(h % length(run) as bigint)) || substr(run, cast(h % length(run) as bigint) + 2) else run end as word, n from hashed
+),
+words as (select word, cast(sum(n) as bigint) as n from results where length(word) >= {spelling.SHORTEST} group by word having sum(n) >= {spelling.LEAST}),
+holes as (
+    select word, k, substr(word, 1, k) || substr(word, k + 2) as rest from (select word, unnest(generate_series(0, length(word) - 1)) as k from words)
+),
+put_in as (select distinct h.word as longer, w.word as shorter from holes h join words w on h.rest = w.word),
+pairs as (
+    select a.word, b.word as near from holes a join holes b using (k, rest) where a.word <> b.word
+    union select longer, shorter from put_in union select shorter, longer from put_in
+),
+found as (
+    select word, count(*) as n_near, max(w.n) as most, min_by(near, (-w.n, near)) as best
+    from pairs join (select word as near, n from words) w using (near) group by word
+),
+forms as (
+    select word, n, coalesce(n_near, 0) as n_near, case when most >= {spelling.RATIO} * n then best end as form, case when most >= {spelling.RATIO} * n then most end as form_n
+    from words left join found using (word)
+),
+paths as (
+    select word, word as root, form as onward from forms
+    union all select p.word, f.word, f.form from paths p join forms f on p.onward = f.word
+)
+select forms.word, forms.form, paths.root, n, n_near, form_n from forms join paths on paths.word = forms.word and paths.onward is null
+"""
+
+ORACLES: dict[str, str] = {"op5_mixing": OP5_SQL, "op6_exact_duplicates": OP6_SQL, "op8_licenses": OP8_SQL, "op10_decontamination": OP10_SQL, "op11_ranked_search": OP11_SQL, "op13_spelling": OP13_SQL}
