@@ -146,10 +146,8 @@ class Block:
         places, counts = np.frombuffer(row["places"], np.uint32), np.frombuffer(row["counts"], np.int64)
         damping = corpus.damping(np.frombuffer(row["sizes"], np.int64))[places]
         impacts = (1_000_000_000 * counts) // (1000 * counts + 20 * damping)
-        ends = np.cumsum(row["dfs"])
-        self.postings = {
-            t: (places[a:b], corpus.weights[t] * impacts[a:b]) for t, a, b in zip(row["terms"], np.append(0, ends[:-1]).astype(int), ends.astype(int), strict=True)
-        }
+        ends = np.cumsum([0, *row["dfs"]]).tolist()
+        self.postings = {t: (places[a:b], corpus.weights[t] * impacts[a:b]) for t, a, b in zip(row["terms"], ends[:-1], ends[1:], strict=True)}
         self.bounds = {t: int(scores.max()) for t, (_, scores) in self.postings.items()}
 
     def search(self, terms: list[int], best: Best, scratch: np.ndarray) -> int:

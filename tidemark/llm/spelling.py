@@ -168,7 +168,7 @@ def _marks(points: np.ndarray) -> np.ndarray:
 def near(a: bytes, b: bytes) -> bool:
     """Whether ``b`` is ``a`` with one letter replaced, or put in."""
     i = 0
-    while i < len(a) and a[i] == b[i]:
+    while i < min(len(a), len(b)) and a[i] == b[i]:
         i += 1
     return a != b and (a[i + 1 :] == b[i + 1 :] if len(a) == len(b) else len(b) == len(a) + 1 and a[i:] == b[i + 1 :])
 
