@@ -94,3 +94,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists on whatever file system it names."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder, in one listing; none if there is no such folder."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(jvm_path):
+        return []
+    return sorted(status.getPath().getName() for status in system.listStatus(jvm_path))
