@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import html
 import random
 import re
 import struct
+import time
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -178,7 +181,6 @@ def tokens_by_hand(docs):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(registered.tokenizer_path())
-    tokenizer.encode_special_tokens = True
     start, out = 0, []
     for name, text in docs:
         ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
@@ -195,6 +197,11 @@ def test_tokens_round_trip(spark, awkward, nothing):
     assert token_dataset(nothing, registered.tokenizer_path()).collect() == []
 
 
+def test_special_strings_are_encoded_as_by_a_plain_call(spark):
+    df = spark.createDataFrame([(1, "a <|endoftext|> b"), (2, "<|endoftext|>" * 3), (3, "a <|endoftext b")], "doc_id long, text string")
+    assert sorted(map(tuple, token_dataset(df, registered.tokenizer_path()).collect())) == tokens_by_hand(map(tuple, df.collect()))
+
+
 def test_contamination_matches_words(spark, awkward, nothing):
     items = [(1, BASE[:200]), (2, "one two"), (3, None), (4, "..."), (2, "absent words"), (None, "below nought")]
     bench = spark.createDataFrame(items, "item_id long, text string")
@@ -334,6 +341,48 @@ def test_main_text_without_marks():
     assert main_text.extract(page) == f"{prose}\nShort.\n{prose}"
 
 
+@pytest.mark.parametrize("opening", [
+    '<body class="post single no-sidebar"><div>', '<body class="home sidebar"><div>', '<body><article class="long-form story">', '<body><article class="ad-free comments-open">',
+    '<body><div id="content" class="with-comments">', '<body><div class="has-sidebar">', '<body><div class="main-content share">', '<body><div class="nonsense formal">',
+])
+def test_a_part_of_a_class_does_not_lose_an_article(opening):
+    prose = "This is a paragraph of running prose, which goes on for some time and ends with a stop."
+    page = f"<html>{opening}<p>{prose}</p><p>{prose}</p><div class='post-comments'><p>{prose} Reader.</p></div><div class=ad>{prose} Buy.</div></div></article></body></html>"
+    assert main_text.extract(page) == f"{prose}\n{prose}"
+
+
+@pytest.mark.parametrize("unit", ["<div>a word or two", "</b></i>text ", "<b>word ", "<p><div>x", "<a href='x'>y", "<ul><li>z", "</div><span>q"])
+def test_broken_markup_costs_no_more_than_its_size(unit):
+    def cost(size):
+        page = "<article>" + unit * (size // len(unit))
+        started = time.process_time()
+        main_text.ties(main_text.blocks_of(page))
+        return time.process_time() - started
+
+    assert cost(1 << 20) < 10 * max(0.1, cost(1 << 18))
+    tracemalloc.start()
+    main_text.blocks_of("<article>" + unit * ((1 << 18) // len(unit)))
+    assert tracemalloc.get_traced_memory()[1] < 60 << 20
+    tracemalloc.stop()
+
+
+def read_by_hand(page):
+    """The article of the test tables' pages, whose markup is plain: h1 and p of ``article``, without the advert."""
+    body = re.search(r"<article>(.*?)</article>", page, re.S)[1]
+    body = re.sub(r"<!--.*?-->|<(div class=\"ad\"|script|style|form|aside|section)[^>]*>.*?</(div|script|style|form|aside|section)>", "\x01", body, flags=re.S)
+    parts = re.split(r"\x01|</?(?:h[1-6]|p|ul|ol|li|blockquote|div|table|tr|td|th|pre|figure|figcaption)\b[^>]*>", body)
+    texts = [re.sub(r"\s+", " ", html.unescape(re.sub(r"<[^>]+>", "", re.sub(r"<br[^>]*>", " ", p)))).strip() for p in parts]
+    return "\n".join(t for t in texts if t)
+
+
+def test_main_text_of_the_tables_pages(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    rows = main_text.main_text(pages).select("html", "main_text").collect()
+    plain = [r for r in rows if r["html"] and r["html"].count("<article>") == 1]
+    assert len(plain) > 100
+    assert [r["main_text"] for r in plain] == [read_by_hand(r["html"]) for r in plain]
+
+
 def test_main_text_frame(spark):
     pages = spark.createDataFrame([(1, None, "u"), (None, PAGE, None)], "page_id long, html string, main_text string")
     assert sorted(len(r["main_text"]) for r in main_text.main_text(pages).collect())[0] == 0

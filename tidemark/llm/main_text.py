@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,13 +36,18 @@ _ENDS = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr":
 _ENDS_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 _AGAINST_TAGS = frozenset("nav footer aside form button menu dialog input".split())
 _FOR_TAGS = frozenset("article main".split())
-_AGAINST = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu|breadcrumbs?|footer|site-?header|masthead|topbar|side-?bar|widget|cookies?|consent|notice|alert|"
-    r"popup|modal|overlay|subscribe|newsletter|signup|login|share|sharing|social|comments?|replies|respond|disqus|related|recommended|trending|pagination|pager|copyright|"
-    r"search|form|toolbar|skip|disclaimer|gdpr)(?:$|[\s_-])",
-    re.IGNORECASE,
+#: Words that name boilerplate, or content, as a whole class or as a part of one (``cookie-notice``).
+_AGAINST = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu breadcrumb breadcrumbs footer masthead topbar sidebar "
+    "widget cookie cookies consent notice alert popup modal overlay subscribe newsletter signup login share sharing social comment comments reply replies respond disqus "
+    "related recommended trending pagination pager copyright search form toolbar skip disclaimer gdpr".split()
 )
-_FOR = re.compile(r"(?:^|[\s_-])(?:article|article-?body|content|main|main-?content|post|post-?body|entry|entry-?content|story|body-?text|articlebody)(?:$|[\s_-])", re.IGNORECASE)
+_FOR = frozenset("article articlebody content main post entry story".split())
+#: Whole classes that say what their parts do not.
+_AGAINST_WHOLE, _FOR_WHOLE = frozenset("site-header siteheader side-bar".split()), frozenset("body-text".split())
+#: First parts of a class that speaks of what an element lacks, has or is like, not of what it is.
+_ABOUT = frozenset("no not without with has is hide show long short wide full".split())
+_PART = re.compile(r"[-_]+")
 _AGAINST_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 
 #: Capacities are whole numbers, in hundredths.
@@ -51,14 +56,37 @@ MARKED, PLAUSIBLE, PROSE, LINKS, SHORT, TIE = 900, 250, 200, 400, 60, 150
 
 @dataclass
 class Block:
-    """A run of text, the share of it in links, its path in the tree and what that path says."""
+    """A run of text, the share of it in links, the element around it and what that says."""
 
     text: str
     links: float
-    path: tuple[int, ...]
+    place: int  # number of the element
     marked: int  # -1 boilerplate, 1 content, 0 neither
 
 
+class Page(list):
+    """Blocks in page order, with the parent and the depth of every element by its number."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.parent, self.depth = [0], [0]
+
+
+def _said(names: list[str]) -> tuple[bool, bool]:
+    """Whether classes and ids name boilerplate, and whether they name content."""
+    against = wanted = False
+    for name in " ".join(names).lower().split():
+        parts = _PART.split(name)
+        if parts[0] in _ABOUT:
+            continue
+        if name in _AGAINST_WHOLE or not _AGAINST.isdisjoint(parts):
+            # "post-comments" is comments; "comments" decides, whatever else the class names.
+            against = True
+        elif name in _FOR_WHOLE or not _FOR.isdisjoint(parts):
+            wanted = True
+    return against, wanted
+
+
 def _mark(tag: str, rest: str, above: int) -> int:
     """What an element says of the text inside; boilerplate inside content is boilerplate, and nothing inside boilerplate is content."""
     if above < 0 or tag in _AGAINST_TAGS:
@@ -74,44 +102,49 @@ def _mark(tag: str, rest: str, above: int) -> int:
                 role = value.lower()
             elif kind != "style":
                 names.append(value)
-    if role in _AGAINST_ROLES or any(_AGAINST.search(name) for name in names):
+    against, wanted = _said(names)
+    wanted = wanted or tag in _FOR_TAGS or role in ("main", "article")
+    # What holds the whole page, or is named as content as well, is no boilerplate for one of its classes.
+    if role in _AGAINST_ROLES or against and not wanted and tag not in ("html", "body"):
         return -1
     if tag == "header" and above == 0:
         return -1
-    if tag in _FOR_TAGS or role in ("main", "article") or any(_FOR.search(name) for name in names):
-        return 1
-    return above
+    return 1 if wanted and tag not in ("html", "body") else above
 
 
-def blocks_of(page: str) -> list[Block]:
-    """Text blocks in page order: character references decoded, white space as one space, empty ones left out."""
-    out: list[Block] = []
-    stack: list[tuple[str, int, int]] = [("", 0, 0)]  # tag, number, mark
+def blocks_of(page: str) -> Page:
+    """Text blocks in page order: character references decoded, white space as one space, empty ones left out.
+
+    The work and the memory grow with the page, however deep or broken its markup is.
+    """
+    out = Page()
+    # Tag, mark, and the number of the innermost element that is no inline one, itself included.
+    stack: list[tuple[str, int, int]] = [("", 0, 0)]
+    opened: Counter[str] = Counter()
     pieces: list[str] = []
-    linked, numbers, where, in_link = 0, 0, stack[:], 0
+    linked, in_link, place, marked = 0, 0, 0, 0
 
     def flush() -> None:
         nonlocal linked
         text = _SPACE.sub(" ", html.unescape("".join(pieces))).strip()
         if text:
-            out.append(Block(text, min(1.0, linked / max(1, len(text))), tuple(n for _, n, _ in where), where[-1][2]))
+            out.append(Block(text, min(1.0, linked / max(1, len(text))), place, marked))
         pieces.clear()
         linked = 0
 
     def close(at: int) -> None:
         nonlocal in_link
-        in_link -= sum(tag == "a" for tag, _, _ in stack[at:])
+        for tag, _, _ in stack[at:]:
+            opened[tag] -= 1
+            in_link -= tag == "a"
         del stack[at:]
 
     def add(text: str) -> None:
-        nonlocal linked, where
+        nonlocal linked, place, marked
         if not text:
             return
         if not pieces:
-            where = [frame for frame in stack if frame[0] not in _INLINE]
-            mark = stack[-1][2]
-            if mark != where[-1][2]:
-                where[-1] = (*where[-1][:2], mark)
+            _, marked, place = stack[-1]
         pieces.append(text)
         if in_link:
             linked += len(text.strip())
@@ -130,8 +163,10 @@ def blocks_of(page: str) -> list[Block]:
         if block:
             flush()
         if m["close"]:
-            at = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
-            if at:
+            if opened[tag]:
+                at = len(stack) - 1
+                while stack[at][0] != tag:
+                    at -= 1
                 close(at)
             continue
         if block:
@@ -140,8 +175,13 @@ def blocks_of(page: str) -> list[Block]:
             if at and not any(frame[0] in ("ul", "ol", "table", "article", "div", "section") for frame in stack[at + 1 :]):
                 close(at)
         if tag not in _EMPTY and not m["rest"].rstrip().endswith("/"):
-            numbers += 1
-            stack.append((tag, numbers, _mark(tag, m["rest"], stack[-1][2])))
+            _, above, around = stack[-1]
+            if block:
+                out.parent.append(around)
+                out.depth.append(out.depth[around] + 1)
+                around = len(out.parent) - 1
+            stack.append((tag, _mark(tag, m["rest"], above), around))
+            opened[tag] += 1
             in_link += tag == "a"
     add(page[end:])
     flush()
@@ -156,22 +196,23 @@ def capacities(block: Block) -> tuple[int, int]:
     return boilerplate, content + (MARKED if block.marked < 0 else 0)
 
 
-def _distance(a: tuple[int, ...], b: tuple[int, ...]) -> int:
-    common = 0
-    for x, y in zip(a, b, strict=False):
-        if x != y:
-            break
-        common += 1
-    return len(a) + len(b) - 2 * common
+def _distance(page: Page, a: int, b: int) -> int:
+    """Steps between two elements in the tree, as far as they matter for a tie."""
+    steps = 0
+    while a != b and steps < TIE:
+        if page.depth[a] < page.depth[b]:
+            a, b = b, a
+        a, steps = page.parent[a], steps + 1
+    return steps
 
 
-def ties(blocks: list[Block]) -> list[tuple[int, int, int]]:
+def ties(blocks: Page) -> list[tuple[int, int, int]]:
     """Smoothness edges: each block and the next, and each block and the next under its parent."""
     out, last = [], {}
     for i, block in enumerate(blocks):
         if i:
-            out.append((i - 1, i, TIE // (1 + _distance(blocks[i - 1].path, block.path))))
-        parent = block.path[:-1]
+            out.append((i - 1, i, TIE // (1 + _distance(blocks, blocks[i - 1].place, block.place))))
+        parent = blocks.parent[block.place]
         if parent in last and last[parent] < i - 1:
             out.append((last[parent], i, TIE // 2))
         last[parent] = i

@@ -53,10 +53,12 @@ class _Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer, self._kind = Tokenizer.from_file(path), kind
-        self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         space = self._tokenizer.pre_tokenizer.pre_tokenize_str(" ")[0][0]
         self._begins = np.zeros(self._tokenizer.get_vocab_size(), bool)
         self._begins[[i for token, i in self._tokenizer.get_vocab().items() if token.startswith(space)]] = True
+        # Added tokens are cut out of a text before it is split into words.
+        cut_out = [re.escape(token.content) for token in self._tokenizer.get_added_tokens_decoder().values()]
+        self._whole_only = re.compile("|".join([_OTHER.pattern, *cut_out]))
         self._known: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
@@ -77,7 +79,7 @@ class _Encoder:
         return {w: ids for w, ids in rest.items() if len(w) > LONGEST}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if _OTHER.search(text) else _SPLIT.findall(text) for text in texts]
+        split = [None if self._whole_only.search(text) else _SPLIT.findall(text) for text in texts]
         words = {word for parts in split if parts for word in parts}
         if len(self._known) > MEMORY:
             self._known.clear()
