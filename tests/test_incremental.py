@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark import shared_path
 from tidemark.functions import utc_date
+from tidemark.operators import incremental
 from tidemark.operators import IncrementalTable, late_data_report, replace_matching
 from tidemark.operators.incremental import _DONE, _STAGED
 from tidemark.session import path_exists
@@ -99,7 +101,7 @@ def test_a_load_lost_before_the_swap_is_finished_by_the_next(spark, monkeypatch,
     new = old + [("BTC", h, 0) for h in (55, 60, 80)]
     t.load(frame(spark, old))
     with monkeypatch.context() as patch:
-        patch.setattr(t, "_replace_days", _fail)
+        patch.setattr(t, "_move_in", _fail)
         with pytest.raises(Lost):
             t.load(frame(spark, new))
     assert t.last_load(spark)["phase"] == _STAGED
@@ -114,14 +116,14 @@ def test_a_load_lost_during_the_swap_is_finished_by_the_next(spark, monkeypatch)
     t = table(spark)
     old, new = [("BTC", 10, 0)], [("BTC", 10, 0), ("BTC", 12, 0), ("BTC", 60, 0)]
     t.load(frame(spark, old))
-    whole = t._replace_days
+    whole = t._move_in
 
-    def newest_only(df, path):
-        whole(df.where(F.col("extracted_date") == F.lit(dt.date(1970, 1, 3))), path)
+    def newest_only(spark, staged, load_no, folders, replace):
+        whole(spark, staged, load_no, [f for f in folders if f.endswith("1970-01-03")], replace)
         raise Lost
 
     with monkeypatch.context() as patch:
-        patch.setattr(t, "_replace_days", newest_only)
+        patch.setattr(t, "_move_in", newest_only)
         with pytest.raises(Lost):
             t.load(frame(spark, new))
     assert content(spark, t, frame(spark, old)) == [("BTC", 10, 0), ("BTC", 60, 0)]
@@ -129,6 +131,68 @@ def test_a_load_lost_during_the_swap_is_finished_by_the_next(spark, monkeypatch)
     assert content(spark, t, frame(spark, new)) == new
 
 
+@pytest.mark.parametrize("lost_at", ["rename", "remove", "record"])
+def test_a_rewrite_lost_at_any_step_is_finished_by_the_next(spark, monkeypatch, lost_at):
+    t = table(spark)
+    t.load(frame(spark, HOURS))
+    change = [("BTC", 1, 100), ("BTC", 29, 5)]
+    done = sorted([r for r in HOURS if r[1] not in (1, 29)] + change)
+    calls = {"rename": "move_files", "remove": "remove_path"}
+
+    def second(function, seen=[]):
+        def run(*args):
+            seen.append(args)
+            if len(seen) == 2 and (lost_at != "remove" or "staged" not in args[1]):
+                raise Lost
+            return function(*args)
+
+        return run
+
+    with monkeypatch.context() as patch:
+        if lost_at == "record":
+            patch.setattr(t, "_record", second(t._record, []))
+        else:
+            patch.setattr(incremental, calls[lost_at], second(getattr(incremental, calls[lost_at]), []))
+        with pytest.raises(Lost):
+            t.upsert(frame(spark, change))
+    t.upsert(frame(spark, change))
+    assert content(spark, t, frame(spark, HOURS)) == done
+
+
+def test_a_strict_load_leaves_stored_files_as_they_are(spark):
+    t = table(spark)
+    t.load(frame(spark, [("BTC", 1, 0), ("BTC", 25, 0)]))
+
+    def files():
+        return {(p, p.stat().st_mtime_ns) for p in Path(t.path.removeprefix("file:")).rglob("*.parquet")}
+
+    before = files()
+    assert t.load(frame(spark, [("BTC", 25, 0), ("ETH", 26, 0), ("BTC", 50, 0)]))["rewritten"] is False
+    assert before < files()
+    assert content(spark, t, frame(spark, HOURS)) == [("BTC", 1, 0), ("BTC", 25, 0), ("BTC", 50, 0), ("ETH", 26, 0)]
+    assert not path_exists(spark, f"{t.log_path}/staged/load=2")
+
+
+def test_a_batch_is_added_once(spark, monkeypatch):
+    t = table(spark)
+    first, second = frame(spark, [("BTC", 5, 0), ("BTC", 30, 0)]), frame(spark, [("BTC", 3, 0), ("ETH", 31, 0)])
+    t.append(first, "0")
+    assert t.append(first, "0")["mode"] == "none"
+    whole = t._move_in
+
+    def part(spark, staged, load_no, folders, replace):
+        whole(spark, staged, load_no, folders[:1], replace)
+        raise Lost
+
+    with monkeypatch.context() as patch:
+        patch.setattr(t, "_move_in", part)
+        with pytest.raises(Lost):
+            t.append(second, "1")
+    t.append(second, "1")
+    assert content(spark, t, first) == [("BTC", 3, 0), ("BTC", 5, 0), ("BTC", 30, 0), ("ETH", 31, 0)]
+    assert t.last_load(spark)["watermark_micros"] == 31 * HOUR
+
+
 def test_a_load_lost_while_staging_changed_nothing(spark, monkeypatch):
     t = table(spark)
     t.load(frame(spark, HOURS[:3]))

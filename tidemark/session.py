@@ -103,3 +103,16 @@ def list_folder(spark: SparkSession, path: str) -> list[str]:
     if not system.exists(jvm_path):
         return []
     return sorted(status.getPath().getName() for status in system.listStatus(jvm_path))
+
+
+def move_files(spark: SparkSession, source: str, target: str, prefix: str) -> None:
+    """Rename the data files directly in ``source`` into ``target``, with ``prefix`` before their names.
+
+    Calling it again goes on where an earlier call was lost.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(path(target))
+    for name in list_folder(spark, source):
+        if not name.startswith(("_", ".")) and not system.rename(path(f"{source}/{name}"), path(f"{target}/{prefix}{name}")):
+            raise OSError(f"could not move {source}/{name} to {target}")
