@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +44,8 @@ from tidemark.sources import (
 from tidemark.sources.landing import stamp_polls
 
 AS_OF = dt.date(2024, 2, 1)
+#: Bounds of the slices that are ingested and built one after the other.
+SLICES = (dt.datetime(1998, 6, 1, tzinfo=dt.timezone.utc), dt.datetime(1999, 1, 11, tzinfo=dt.timezone.utc))
 CREATED_AT = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
 
 
@@ -155,23 +158,47 @@ def materialize_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
-def market_snapshot_e2e(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Polls to archive to bronze to checked silver to checked gold."""
-    warehouse = Warehouse(shared_path(spark, "market"))
-    archive = warehouse.table("archive")
-    polls = crypto_polls(spark, sf_dir).unionByName(fx_polls(spark, sf_dir)).unionByName(weather_polls(spark, sf_dir))
-    write_archive(polls, archive)
-    landing = read_archive(spark, archive)
+def _ingested(spark: SparkSession, warehouse: Warehouse, polls: DataFrame, run: str) -> None:
+    """Archive polls and load what the archive holds of them into bronze."""
+    archive = warehouse.table(f"archive_{run}")
+    write_archive(polls, archive, monthly=True)
     registry = default_sources(spark, CREATED_AT)
     for owner in ("daily_pipeline", "crypto_realtime_pipeline"):
-        failed = [r for r in ingest_run(spark, registry, owner, landing, warehouse, "run", clustered=True) if r["status"] != "success"]
+        failed = [r for r in ingest_run(spark, registry, owner, read_archive(spark, archive), warehouse, run) if r["status"] != "success"]
         if failed:
             raise RuntimeError(str(failed))
+
+
+def _market(spark: SparkSession) -> tuple[Warehouse, Callable[[], dict[str, DataFrame]]]:
+    """A warehouse for years of few readings and rates a day, and its bronze frames as they are when asked for."""
+    warehouse = Warehouse(shared_path(spark, "market"), monthly=frozenset({"bronze.raw_weather", "bronze.raw_fx"}))
     schemas = {"raw_weather": RAW_WEATHER, "raw_crypto": RAW_CRYPTO, "raw_fx": RAW_FX}
-    bronze = {name: read_bronze(spark, warehouse.table(f"bronze.{name}"), schema) for name, schema in schemas.items()}
+    return warehouse, lambda: {name: read_bronze(spark, warehouse.table(f"bronze.{name}"), schema) for name, schema in schemas.items()}
+
+
+def _polls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crypto_polls(spark, sf_dir).unionByName(fx_polls(spark, sf_dir)).unionByName(weather_polls(spark, sf_dir))
+
+
+def market_snapshot_e2e(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Polls to archive to bronze to checked silver to checked gold."""
+    warehouse, bronze = _market(spark)
+    _ingested(spark, warehouse, _polls(spark, sf_dir), "run")
     return measures(build_market(spark, bronze, warehouse.root, AS_OF, cover_data=True).fct_market_snapshot)
 
 
+def market_incremental_e2e(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in three slices of time, built after each: no rates of the first slice, and no readings of some of its days, come until the last."""
+    warehouse, bronze = _market(spark)
+    polls, at = _polls(spark, sf_dir), F.col("captured_at")
+    late = (at < F.lit(SLICES[0])) & ((F.col("source_name") == "fx") | (F.col("source_name") == "weather") & (F.dayofmonth(at) == 13))
+    slices = [(at < F.lit(SLICES[0])) & ~late, (at >= F.lit(SLICES[0])) & (at < F.lit(SLICES[1])), (at >= F.lit(SLICES[1])) | late]
+    for number, part in enumerate(slices):
+        _ingested(spark, warehouse, polls.where(part), f"run{number}")
+        built = build_market(spark, bronze, warehouse.root, AS_OF, cover_data=True, full=False)
+    return measures(built.fct_market_snapshot)
+
+
 QUERIES = {
     "raw_archive_key": raw_archive_key,
     "stamp_rows": stamp_rows,
@@ -185,6 +212,7 @@ QUERIES = {
     "bronze_append": bronze_append,
     "materialize_table": materialize_table,
     "market_snapshot_e2e": market_snapshot_e2e,
+    "market_incremental_e2e": market_incremental_e2e,
 }
 
 _KEY = "strftime({ts}, '%Y%m%dT%H%M%S%fZ') || '.json'"
@@ -255,3 +283,4 @@ from ({CRYPTO_POLLS_SQL}) r group by extracted_date, coin_id
         _E2E_SNAPSHOT, f"select min(snapshot_date) as lo, max(snapshot_date) as hi from ({_E2E_SNAPSHOT}) z"
     ),
 }
+ORACLES["market_incremental_e2e"] = ORACLES["market_snapshot_e2e"]

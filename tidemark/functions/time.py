@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MICROS_PER_DAY = 86_400_000_000
+#: The folder column of tables stored by month.
+MONTH = "extracted_month"
 
 
 def utc_date(timestamp: Column) -> Column:
@@ -19,6 +21,11 @@ def utc_date(timestamp: Column) -> Column:
     return F.date_from_unix_date(F.call_function("div", midnight, F.lit(MICROS_PER_DAY)).cast("int"))
 
 
+def month_of(day: Column) -> Column:
+    """The first day of a day's month."""
+    return F.trunc(day, "month")
+
+
 def duration_seconds(started_at: Column, ended_at: Column) -> Column:
     """Elapsed seconds with microsecond fractions."""
     return (F.unix_micros(ended_at) - F.unix_micros(started_at)) / F.lit(1e6)
