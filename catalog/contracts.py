@@ -114,13 +114,15 @@ def dq_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     crypto = market.stg_crypto_prices(raw_crypto(spark, sf_dir))
     dim = date_dim_for(raw_fx(spark, sf_dir), "extracted_date")
     fact = stored(market.fct_market_snapshot(market.snapshot_from_staging(weather, crypto, fx), dim), "fct_market_snapshot")
+    ticks = market.tick_table(shared_path(spark, "fct_crypto_price_ticks"))
+    ticks.load(crypto)
     models = {
         "stg_weather": weather,
         "stg_crypto_prices": crypto,
         "stg_fx_rates": fx,
         "dim_date": dim,
         "fct_market_snapshot": fact,
-        "fct_crypto_price_ticks": crypto,
+        "fct_crypto_price_ticks": ticks.read(spark, crypto.schema),
     }
     return run_contracts(models, AS_OF)
 

@@ -8,6 +8,7 @@ from tidemark.quality.checks import (
     duplicate_keys,
     freshness,
     future_dates,
+    not_after,
     not_null,
     orphan_keys,
     relationships,
@@ -27,6 +28,7 @@ __all__ = [
     "freshness",
     "future_dates",
     "gate",
+    "not_after",
     "not_null",
     "orphan_keys",
     "relationships",

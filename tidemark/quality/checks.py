@@ -1,8 +1,8 @@
 """Checks as data, and operators that list violations.
 
 A row check is a condition that is TRUE on a violating row; NULL is not a violation
-unless the check says so. All row checks of a model share one aggregate. Uniqueness
-and relationships need a shuffle each, always of pre-aggregated keys.
+unless the check says so. A suite reads each model once, and all its checks share one
+shuffle of pre-aggregated keys.
 """
 
 from __future__ import annotations
@@ -29,6 +29,8 @@ class Check:
     ignore_nulls: bool = False
     to_model: str | None = None
     to_column: str | None = None
+    #: Name under which checks of several models count as one.
+    reported_as: str | None = None
 
     @property
     def column(self) -> str:
@@ -72,6 +74,11 @@ def between(
     return Check("between", model, (column,), ROW, outside)
 
 
+def not_after(model: str, column: str, day: dt.date, reported_as: str | None = None) -> Check:
+    """Fails on a later day; NULL passes."""
+    return Check("no_future_dates", model, (column,), ROW, F.col(column) > F.lit(day), reported_as=reported_as)
+
+
 def unique(model: str, column: str) -> Check:
     """Fails on repeated values; NULLs are ignored."""
     return Check("unique", model, (column,), UNIQUE, ignore_nulls=True)
