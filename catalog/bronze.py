@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from catalog.frames import (
     CRYPTO_POLLS_SQL,
     FX_POLLS_SQL,
+    OBJECTS_SQL,
     WEATHER_POLLS_SQL,
     crypto_polls,
     events,
@@ -20,6 +21,7 @@ from catalog.frames import (
     shifted,
     table,
     weather_polls,
+    write_objects,
 )
 from catalog.models import fact_sql, measures, snapshot_sql
 from tidemark import shared_path
@@ -38,6 +40,7 @@ from tidemark.sources import (
     parse_weather,
     read_archive,
     read_bronze,
+    read_landing,
     route,
     write_archive,
 )
@@ -65,6 +68,13 @@ def landing_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(read_archive(spark, root).drop("extracted_date"), times=("captured_at",))
 
 
+def landing_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file for each poll, read and parsed."""
+    root = shared_path(spark, "objects")
+    write_objects(spark, sf_dir, root, F.lit(True))
+    return out(parse_crypto(read_landing(spark, root)).rows.drop("market_cap"), ("price", "price_change_24h_pct"), ("captured_at",))
+
+
 def payload_array_inline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A line item is a poll of three tickers, one without the suffix."""
     def ticker(symbol: str, amount: str):
@@ -203,6 +213,7 @@ QUERIES = {
     "raw_archive_key": raw_archive_key,
     "stamp_rows": stamp_rows,
     "landing_scan": landing_scan,
+    "landing_objects": landing_objects,
     "payload_array_inline": payload_array_inline,
     "payload_map_explode": payload_map_explode,
     "config_fallback": config_fallback_query,
@@ -284,3 +295,4 @@ from ({CRYPTO_POLLS_SQL}) r group by extracted_date, coin_id
     ),
 }
 ORACLES["market_incremental_e2e"] = ORACLES["market_snapshot_e2e"]
+ORACLES["landing_objects"] = OBJECTS_SQL

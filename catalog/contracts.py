@@ -14,12 +14,14 @@ from tidemark.operators import date_dim_for
 from tidemark.plans import market
 from tidemark.plans.contracts import control_checks, run_contracts
 from tidemark.quality import (
+    ContractViolation,
     accepted_values,
     between,
     duplicate_groups,
     duplicate_keys,
     freshness,
     future_dates,
+    gate,
     not_null,
     orphan_keys,
     run_suite,
@@ -127,7 +129,18 @@ def dq_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_contracts(models, AS_OF)
 
 
+def dq_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the gate says of a layer whose suite has failures: the failed checks, and only those."""
+    schema = "layer string, check_name string, model string, column_name string, failures long"
+    try:
+        gate(dq_suite(spark, sf_dir), "market")
+    except ContractViolation as broken:
+        return spark.createDataFrame([(broken.layer, *row) for row in broken.failed], schema)
+    return spark.createDataFrame([], schema)
+
+
 QUERIES = {
+    "dq_gate": dq_gate,
     "dq_not_null": dq_not_null,
     "dq_unique": dq_unique,
     "dq_accepted_values": dq_accepted_values,
@@ -226,6 +239,7 @@ with a as (select *, timestamp '2024-01-01 00:00:00' as created_at from ({REGIST
 
 
 ORACLES = {
+    "dq_gate": f"select 'market' as layer, * from ({_suite_sql()}) suite where failures > 0",
     "dq_not_null": "select 'event_type' as column_name, count(*) as failures from events where nullif(event_type, 'error') is null",
     "dq_unique": """
 select k, count(*) as n_records from (select case when l_linestatus <> 'F' then l_orderkey end as k from lineitem) t

@@ -10,11 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import utc_date
+from tidemark.functions import archive_key, utc_date
 from tidemark.schemas import AMOUNT, COORDINATE
 
 SHIFT_DAYS = 9131
 MICROS_PER_DAY = 86_400_000_000
+#: 2024-01-01, from when on polls of suppliers are captured, one a minute.
+OBJECT_MICROS = 1_704_067_200_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -211,6 +213,30 @@ cross join (values ('GBP', 1.0::double), ('EUR', 0.5::double), ('JPY', 2.0::doub
 """
 
 
+def write_objects(spark: SparkSession, sf_dir: str, root: str, suppliers: Column) -> None:
+    """What an outside poller leaves: a file for each poll, here of one supplier's balance as a price, below its source."""
+    at = F.timestamp_micros(F.lit(OBJECT_MICROS) + F.col("s_suppkey") * 60_000_000)
+    ticker = F.struct(
+        F.concat("s_name", F.lit("USDT")).alias("symbol"), F.abs("s_acctbal").cast("string").alias("lastPrice"), F.col("s_nationkey").cast("string").alias("priceChangePercent")
+    )
+    polls = table(spark, sf_dir, "supplier").where(suppliers).select(archive_key(F.lit("crypto"), at).alias("object_key"), F.to_json(F.array(ticker)).alias("payload"))
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    for object_key, payload in polls.toLocalIterator():
+        out_ = system.create(path(f"{root}/{object_key}"))
+        out_.write(bytearray(payload.encode()))
+        out_.close()
+
+
+OBJECTS_SQL = """
+select s_name as coin_id, 'usdt' as vs_currency, abs(s_acctbal) as price, cast(s_nationkey as double) as price_change_24h_pct,
+       timestamp '2024-01-01 00:00:00' + to_microseconds(s_suppkey * 60000000) as captured_at,
+       cast(timestamp '2024-01-01 00:00:00' + to_microseconds(s_suppkey * 60000000) as date) as extracted_date,
+       'crypto/' || strftime(timestamp '2024-01-01 00:00:00' + to_microseconds(s_suppkey * 60000000), '%Y%m%dT%H%M%S') || '000000Z.json' as object_key
+from supplier
+"""
+
+
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Attempts: a day is a run, a user a source; errors are failed attempts."""
     failed = F.col("event_type") == "error"

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog.frames import REGISTRY_SQL, RUN_LOG_SQL, error_log, events, out, registry, run_log, table
+from tidemark import shared_path
 from tidemark.operators import (
     error_count,
     late_data_report,
@@ -16,7 +17,8 @@ from tidemark.operators import (
     run_summary_wide,
     run_verdict,
 )
-from tidemark.schemas import SYMBOLS_CONFIG
+from tidemark.operators.runs import append_error_log, append_run_log
+from tidemark.schemas import ERROR_LOG, RUN_LOG, SYMBOLS_CONFIG
 from tidemark.sources import active_sources, apply_defaults, config_list
 
 TIES = ["event_id"]
@@ -48,6 +50,24 @@ def run_log_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_log_rows(run_log(spark, sf_dir)).select("event_id", "source_id", "status", "duration_seconds")
 
 
+def run_log_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attempts that failed are logged first, the others after; the log derives durations."""
+    path, attempts = shared_path(spark, "run_log"), run_log(spark, sf_dir)
+    for status in ("failed", "success"):
+        append_run_log(spark, path, attempts.where(F.col("status") == status))
+    logged = spark.read.schema(RUN_LOG).parquet(path)
+    return out(logged, times=("started_at", "ended_at"))
+
+
+def error_log_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The errors of two runs of days, logged one after the other."""
+    path, errors = shared_path(spark, "error_log"), error_log(spark, sf_dir)
+    early = F.col("dag_run_id") < "2024-01-16"
+    for part in (early, ~early):
+        append_error_log(spark, path, errors.where(part))
+    return out(spark.read.schema(ERROR_LOG).parquet(path), times=("occurred_at",))
+
+
 def run_summary_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_summary(run_log(spark, sf_dir), TIES, RUN)
 
@@ -84,6 +104,8 @@ QUERIES = {
     "config_explode": config_explode,
     "apply_defaults": apply_defaults_query,
     "run_log_duration": run_log_duration,
+    "run_log_append": run_log_append,
+    "error_log_append": error_log_append,
     "run_summary": run_summary_query,
     "run_summary_wide": run_summary_wide_query,
     "error_count": error_count_query,
@@ -134,6 +156,16 @@ select event_id, coalesce(nullif(event_type, 'error'), 'GET') as http_method, va
     "run_log_duration": f"""
 select event_id, source_id, status, (epoch_us(ended_at) - epoch_us(started_at)) / cast(1000000 as double) as duration_seconds
 from ({RUN_LOG_SQL}) l
+""",
+    "run_log_append": f"""
+select dag_run_id, task_id, source_id, status, rows_loaded, started_at, ended_at,
+       (epoch_us(ended_at) - epoch_us(started_at)) / cast(1000000 as double) as duration_seconds
+from ({RUN_LOG_SQL}) l
+""",
+    "error_log_append": """
+select cast(cast(ts as date) as varchar) as dag_run_id, event_type as task_id, cast(user_id as integer) as source_id, props as error_message,
+       cast(null as varchar) as error_traceback, ts as occurred_at
+from events where event_type = 'error'
 """,
     "run_summary": f"""
 select run as dag_run_id, status, count(*) as task_count, cast(coalesce(sum(rows_loaded), 0) as bigint) as rows_loaded

@@ -7,9 +7,9 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog.frames import SHIFT_DAYS, average, average_sql, events, out, table
+from catalog.frames import MICROS_PER_DAY, SHIFT_DAYS, average, average_sql, events, out, shifted, table
 from tidemark import shared_path
-from tidemark.functions import strict_cast, strip_suffix
+from tidemark.functions import strict_cast, strip_suffix, utc_date
 from tidemark.operators import (
     IncrementalTable,
     attach_calendar,
@@ -135,6 +135,18 @@ def incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(ticks.read(spark, source.schema).drop("extracted_date"), times=("ts",))
 
 
+def incremental_upsert_moved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that do not tell the day: some events of a user turn out to have been two days later, others to be wrong."""
+    source = _tick_source(spark, sf_dir)
+    ticks = IncrementalTable(shared_path(spark, "ticks"), ("event_id",), "ts", day_filters=True)
+    ticks.load(source)
+    changed = source.where("event_id % 97 = 0")
+    later = shifted(F.col("ts"), F.lit(2 * MICROS_PER_DAY))
+    ticks.upsert(changed.where("event_id % 2 = 0").withColumns({"ts": later, "extracted_date": utc_date(later), "value": F.lit(-1.0)}))
+    ticks.upsert(changed.where("event_id % 2 = 1").withColumn("value", F.lit(-2.0)))
+    return out(ticks.read(spark, source.schema), times=("ts",))
+
+
 def incremental_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Strict watermark: three loads of a growing source give what one full build gives."""
     source = _tick_source(spark, sf_dir)
@@ -181,6 +193,7 @@ QUERIES = {
     "watermark_filter": watermark_filter_query,
     "incremental_upsert": incremental_upsert,
     "incremental_append": incremental_append,
+    "incremental_upsert_moved": incremental_upsert_moved,
     "insert_if_absent": insert_if_absent_query,
     "strip_suffix": strip_suffix_query,
     "strict_cast": strict_cast_query,
@@ -268,6 +281,12 @@ select event_id, event_type, ts, value from target t
 where not exists (select 1 from delta x where x.event_id = t.event_id and x.event_type = t.event_type and x.ts = t.ts)
 union all
 select event_id, event_type, ts, value from delta
+""",
+    "incremental_upsert_moved": """
+select event_id, event_type, case when moved then ts + interval 2 day else ts end as ts,
+       case when moved then -1.0 when event_id % 97 = 0 then -2.0 else value end as value,
+       cast(ts as date) + case when moved then 2 else 0 end as extracted_date
+from (select *, event_id % 97 = 0 and event_id % 2 = 0 as moved from events) e
 """,
     "incremental_append": "select event_id, event_type, ts, value from events",
     "insert_if_absent": """

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog.frames import CRYPTO_POLLS_SQL, crypto_polls, events, out, shifted
+from catalog.frames import CRYPTO_POLLS_SQL, OBJECTS_SQL, crypto_polls, events, out, shifted, write_objects
 from tidemark import shared_path
 from tidemark.operators import IncrementalTable
 from tidemark.schemas import RAW_CRYPTO
@@ -43,6 +43,28 @@ def stream_landing_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(rows, ("price", "price_change_24h_pct"), ("captured_at",))
 
 
+def stream_landing_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two arrivals of files, one for each poll; the query is restarted from its checkpoint between them."""
+    root, bronze = shared_path(spark, "objects"), shared_path(spark, "raw_crypto")
+    for suppliers in (F.col("s_suppkey") % 3 == 0, F.col("s_suppkey") % 3 != 0):
+        write_objects(spark, sf_dir, root, suppliers)
+        landing = stream_landing(spark, root, packed=False)
+        write_bronze(landing, "crypto", bronze, f"{bronze}__checkpoint", every=None).awaitTermination()
+    return out(read_bronze(spark, bronze, RAW_CRYPTO).drop("market_cap"), ("price", "price_change_24h_pct"), ("captured_at",))
+
+
+def stream_incremental_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose keys are new, in two arrivals; each batch adds files of its own."""
+    ticks = events(spark, sf_dir).select("event_id", "event_type", "ts", "value", "extracted_date")
+    table = IncrementalTable(shared_path(spark, "ticks"), ("event_id", "event_type", "ts"), "ts")
+    path = shared_path(spark, "arrivals")
+    for arrival in (F.col("event_type") == "click", F.col("event_type") != "click"):
+        ticks.where(arrival).write.mode("append").parquet(path)
+        stream = spark.readStream.schema(ticks.schema).parquet(path)
+        upsert_stream(stream, table, f"{table.path}__checkpoint", append=True).awaitTermination()
+    return out(table.read(spark, ticks.schema).drop("extracted_date"), times=("ts",))
+
+
 def stream_incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table of placeholders for every second kind of event, then the stream of real values."""
     ticks = events(spark, sf_dir).select("event_id", "event_type", "ts", "value", "extracted_date")
@@ -69,6 +91,8 @@ def stream_daily_close(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "stream_landing_append": stream_landing_append,
+    "stream_landing_objects": stream_landing_objects,
+    "stream_incremental_append": stream_incremental_append,
     "stream_incremental_upsert": stream_incremental_upsert,
     "stream_dedup": stream_dedup,
     "stream_daily_close": stream_daily_close,
@@ -88,3 +112,5 @@ select d as extracted_date, event_type, value as close_value from (
 where rn = 1 and cast(d + 1 as timestamp) <= (select max(ts) - interval 1 day from events)
 """,
 }
+ORACLES["stream_landing_objects"] = OBJECTS_SQL
+ORACLES["stream_incremental_append"] = "select event_id, event_type, ts, value from events"

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark import shared_path
 from tidemark.functions import utc_date
 from tidemark.operators import incremental
+from tidemark.operators.day_filters import DayFilters
 from tidemark.operators import IncrementalTable, late_data_report, replace_matching
 from tidemark.operators.incremental import _DONE, _STAGED
 from tidemark.session import path_exists
@@ -291,3 +292,65 @@ def test_rows_without_a_watermark_are_kept(spark):
     table.upsert(rows)
     table.upsert(rows.where("at is null"))
     assert sorted(r["id"] for r in table.read(spark, rows.schema).collect()) == [1, 2]
+
+
+def orders(spark, data):
+    df = spark.createDataFrame(data, "id int, v string, d int")
+    at = F.timestamp_micros((F.col("d") * 24 * HOUR + F.col("id")).cast("long"))
+    return df.select("id", "v", at.alias("at"), utc_date(at).alias("day"))
+
+
+def by_id(spark, t):
+    return sorted((r["id"], r["v"], r["day"].day - 1) for r in t.read(spark).collect())
+
+
+def test_filters_open_only_days_that_may_hold_the_keys(spark, monkeypatch):
+    plain, filtered = (IncrementalTable(shared_path(spark, "o"), ["id"], "at", "day", day_filters=f) for f in (False, True))
+    first = [(i, "a", i % 20) for i in range(400)]
+    changes = [
+        [(7, "b", 21), (401, "b", 3)],  # one moves, one is new
+        [(7, "c", 1), (12, "c", 12), (500, "c", 25)],  # moves back, stays, new
+        [(500, "d", 4)],  # the only row of its day goes
+        [(401, "e", 5), (7, "e", 2)],
+    ]
+    for t in (plain, filtered):
+        t.load(orders(spark, first))
+    opened = []
+    whole = DayFilters.candidates
+
+    def watched(self, *args):
+        opened.append(whole(self, *args))
+        return opened[-1]
+
+    monkeypatch.setattr(DayFilters, "candidates", watched)
+    state = {i: (i, v, d) for i, v, d in first}
+    for change in changes:
+        for t in (plain, filtered):
+            t.upsert(orders(spark, change))
+        state |= {row[0]: row for row in change}
+        assert by_id(spark, filtered) == by_id(spark, plain) == sorted(state.values())
+    # The days that do hold the keys, and now and then one that passes by chance.
+    held = [{8}, {13, 22}, {26}, {4, 2}]
+    for found, days in zip(opened, held, strict=True):
+        assert {f"day=1970-01-{d:02d}" for d in days} <= set(found) and len(found) <= len(days) + 3
+
+
+def test_filters_of_a_lost_load_do_not_count(spark, monkeypatch):
+    t = IncrementalTable(shared_path(spark, "o"), ["id"], "at", "day", day_filters=True)
+    t.load(orders(spark, [(1, "a", 1), (2, "a", 1), (3, "a", 2)]))
+    with monkeypatch.context() as patch:
+        patch.setattr(t, "_record", _fail)
+        with pytest.raises(Lost):
+            t.upsert(orders(spark, [(1, "b", 3)]))
+    # The lost load had taken 1 out of its day.
+    t.upsert(orders(spark, [(1, "c", 4)]))
+    assert by_id(spark, t) == [(1, "c", 4), (2, "a", 1), (3, "a", 2)]
+
+
+def test_days_without_filters_are_opened(spark):
+    path = shared_path(spark, "o")
+    IncrementalTable(path, ["id"], "at", "day").load(orders(spark, [(1, "a", 1), (2, "a", 2)]))
+    t = IncrementalTable(path, ["id"], "at", "day", day_filters=True)
+    t.append(orders(spark, [(3, "a", 2), (4, "a", 5)]), "1")
+    t.upsert(orders(spark, [(1, "b", 3), (3, "b", 3), (4, "b", 6)]))
+    assert by_id(spark, t) == [(1, "b", 3), (2, "a", 2), (3, "b", 3), (4, "b", 6)]
