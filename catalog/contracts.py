@@ -24,7 +24,11 @@ from tidemark.quality import (
     gate,
     not_null,
     orphan_keys,
+    relationships,
     run_suite,
+    unique,
+    unique_combination,
+    violating_samples,
     violations,
 )
 
@@ -139,7 +143,23 @@ def dq_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def dq_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first violations of each kind of check, over line items and orders."""
+    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    models = {"lineitem": lines.withColumn("flag", F.nullif("l_returnflag", F.lit("R"))), "orders": orders.where("o_orderkey % 10 <> 3")}
+    checks = [
+        not_null("lineitem", "flag"),
+        between("lineitem", "l_linenumber", 1, 5),
+        unique_combination("lineitem", ["l_orderkey", "l_linenumber"]),
+        unique("orders", "o_custkey"),
+        relationships("lineitem", "l_orderkey", "orders", "o_orderkey"),
+    ]
+    samples = violating_samples(models, checks, {"lineitem": ["l_orderkey", "l_linenumber"]}, most=7)
+    return samples.withColumn("sample", F.array_join("sample", "/", "null"))
+
+
 QUERIES = {
+    "dq_samples": dq_samples,
     "dq_gate": dq_gate,
     "dq_not_null": dq_not_null,
     "dq_unique": dq_unique,
@@ -238,7 +258,26 @@ with a as (select *, timestamp '2024-01-01 00:00:00' as created_at from ({REGIST
     return frames + " union all ".join(parts)
 
 
+_SAMPLES_SQL = """
+with lines as (select *, nullif(l_returnflag, 'R') as flag from lineitem), parents as (select * from orders where o_orderkey % 10 <> 3),
+found as (
+    select 'not_null' as check_name, 'lineitem' as model, 'flag' as column_name, [cast(l_orderkey as varchar), cast(l_linenumber as varchar), flag] as sample, 1 as n
+    from lines where flag is null
+    union all select 'between', 'lineitem', 'l_linenumber', [cast(l_orderkey as varchar), cast(l_linenumber as varchar)], 1 from lines where l_linenumber not between 1 and 5
+    union all select 'unique_combination', 'lineitem', 'l_orderkey, l_linenumber', [cast(l_orderkey as varchar), cast(l_linenumber as varchar)], count(*)
+    from lines group by l_orderkey, l_linenumber having count(*) > 1
+    union all select 'unique', 'orders', 'o_custkey', [cast(o_custkey as varchar)], count(*) from parents where o_custkey is not null group by o_custkey having count(*) > 1
+    union all select 'relationships', 'lineitem', 'l_orderkey', [cast(l_orderkey as varchar)], count(*)
+    from lines where l_orderkey is not null and l_orderkey not in (select o_orderkey from parents) group by l_orderkey
+),
+placed as (select *, row_number() over (partition by check_name order by sample, n) as sample_no from found)
+select check_name, model, column_name, cast(sample_no as integer) as sample_no,
+       array_to_string(list_transform(sample, lambda v: coalesce(v, 'null')), '/') as sample, cast(n as bigint) as n_records
+from placed where sample_no <= 7
+"""
+
 ORACLES = {
+    "dq_samples": _SAMPLES_SQL,
     "dq_gate": f"select 'market' as layer, * from ({_suite_sql()}) suite where failures > 0",
     "dq_not_null": "select 'event_type' as column_name, count(*) as failures from events where nullif(event_type, 'error') is null",
     "dq_unique": """

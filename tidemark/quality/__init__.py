@@ -16,7 +16,7 @@ from tidemark.quality.checks import (
     unique_combination,
     violations,
 )
-from tidemark.quality.suite import ContractViolation, gate, run_suite
+from tidemark.quality.suite import ContractViolation, gate, run_suite, violating_samples
 
 __all__ = [
     "Check",
@@ -35,5 +35,6 @@ __all__ = [
     "run_suite",
     "unique",
     "unique_combination",
+    "violating_samples",
     "violations",
 ]
