@@ -211,11 +211,24 @@ def test_contamination_matches_words(spark, awkward, nothing):
         assert got[(5, 2, ("2",), 2)] == 1 and got[(-5, 2, ("",), 2)] == 1 and got[(1, 0, (), 0)] == 1
         assert got[(8, 61, ("1",), 30)] == 2
     assert contamination(awkward, bench.where("false")).where("contaminated").count() == 0
+    clashing = awkward.withColumns({"_hits": F.lit("mine"), "_ITEMS": F.lit(1), "_row": F.lit(2)})
+    assert {(r["_hits"], r["_ITEMS"], r["_row"]) for r in uncontaminated(clashing, bench).collect()} == {("mine", 1, 2)}
     assert contamination(nothing, bench).collect() == []
     kept = uncontaminated(awkward, bench)
     assert kept.columns == awkward.columns and {5, -5, 6} & {r["doc_id"] for r in kept.collect()} == set()
 
 
+def test_a_large_benchmark_is_searched_for_in_passes(spark):
+    rng = np.random.default_rng(4)
+    words = [f"w{i}" for i in range(300)]
+    items = [(i, " ".join(rng.choice(words, 40))) for i in range(60)]
+    docs = [(i, " ".join([*rng.choice(words, 30), *items[int(rng.integers(60))][1].split()[: int(rng.integers(0, 40))], *items[int(rng.integers(60))][1].split()[5:25]])) for i in range(80)]
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    one = {r["doc_id"]: r.asDict() for r in contaminated_words(df, bench).collect()}
+    many = {r["doc_id"]: r.asDict() for r in contaminated_words(df, bench, automaton_bytes=1500).collect()}
+    assert one == many and sum(len(r["items"]) > 1 for r in one.values()) > 20
+
+
 def test_spans_are_of_the_original(spark):
     df = spark.createDataFrame([(1, "Say: ÉTÉ --One,  Two! three")], "doc_id long, text string")
     row = contaminated_words(df, spark.createDataFrame([(1, "one two")], "item_id long, text string")).first()

@@ -102,3 +102,21 @@ def test_matches_sql(spark, key):
     sf = "/root/testdata/sf0.001"
     with duck(sf) as connection:
         assert differences(registered.QUERIES[key](spark, sf), connection, registered.ORACLES[key]) == []
+
+
+CLASHING = ["toxicity", "toxic_hits", "_hits", "_items", "_n_words", "_id", "_key", "_copies", "_copy", "key", "component", "kept", "Domain", "copies", "n_tokens", "_row", "_hash", "size"]
+
+
+def test_columns_with_the_operators_own_names_are_kept(spark, small):
+    _, sf_dir = small
+    docs = spark.createDataFrame([(i, t, "en", "src1", 0, *[f"{c} {i}" for c in CLASHING]) for i, t in AWKWARD], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in CLASHING))
+    plain = docs.select(*corpus_pipeline.COLUMNS)
+    for name, stage in corpus_pipeline.STAGES:
+        got, want = stage(spark, docs, sf_dir), stage(spark, plain, sf_dir)
+        if name == "sharding":
+            assert got.columns == want.columns and got.count() == want.count()
+            continue
+        assert got.columns == docs.columns
+        rows = got.collect()
+        assert Counter((r["doc_id"], r["text"]) for r in rows) == Counter((r["doc_id"], r["text"]) for r in want.collect())
+        assert all(r[c] == f"{c} {r['doc_id']}" for r in rows for c in CLASHING), name

@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructType
 from pyspark.sql.window import Window
 
 from tidemark.session import shared_path
@@ -58,7 +58,7 @@ def in_arrow(df: DataFrame, function: Callable, schema) -> DataFrame:
     return df.mapInArrow(function, schema)
 
 
-def added(df: DataFrame, **kinds: str) -> StructType:
+def added(df: DataFrame, **kinds: str | DataType) -> StructType:
     """The schema of ``df`` with more columns."""
     out = StructType(list(df.schema.fields))
     for name, kind in kinds.items():

@@ -12,12 +12,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StringType
 
-from tidemark.llm.common import in_arrow, store
+from tidemark.llm.common import added, in_arrow, store
 
 WINDOW = 13
-#: Bytes of normalised benchmark text in one automaton, which each task builds for itself.
-AUTOMATON_BYTES = 8 << 20
+#: Bytes of benchmark text in one automaton, which each task builds for itself: windows overlap, so it takes some 500 bytes for each.
+AUTOMATON_BYTES = 512 << 10
 
 #: Every byte that is no part of a word ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` becomes a space, after A-Z became a-z.
 _FOLD = bytes(32 if b < 48 or 57 < b < 65 or 90 < b < 97 or 122 < b < 128 else b + 32 * (65 <= b <= 90) for b in range(256))
@@ -90,24 +91,25 @@ def _blocks(benchmark: DataFrame, most: int) -> Iterator[tuple[tuple[str, str |
     yield tuple(block)
 
 
-def _search(items: tuple[tuple[str, str | None], ...], window: int):
-    """One pass: adds the hits and items of a block of test items to those found before."""
+def _search(items: tuple[tuple[str, str | None], ...], window: int, names: list[str]):
+    """Adds the number of words, the hits and the items found of a block of test items, in columns of these names."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = _automaton(items, window)
         for batch in batches:
-            words, hits, names = [], [], []
-            for value, hit_before, found_before in zip(*(batch.column(c) for c in ("text", "_hits", "_items")), strict=True):
-                n, hit, found = scan(value.as_py(), machine)
-                words.append(n)
-                hits.append(np.union1d(hit, np.array(hit_before.as_py(), np.int64)) if len(hit_before) else hit)
-                names.append(sorted({*found, *found_before.as_py()}))
-            at = {"_n_words": pa.array(words, pa.int64()), "_hits": pa.array(hits, pa.list_(pa.int64())), "_items": pa.array(names, pa.list_(pa.string()))}
-            yield pa.RecordBatch.from_arrays([at.get(c, batch.column(i)) for i, c in enumerate(batch.schema.names)], names=batch.schema.names)
+            found = [scan(text.as_py(), machine) for text in batch.column("text")]
+            columns = [pa.array([n for n, _, _ in found], pa.int64()), pa.array([h for _, h, _ in found], pa.list_(pa.int64())), pa.array([i for _, _, i in found], pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *names])
 
     return run
 
 
+def _unused(columns: list[str], *names: str) -> list[str]:
+    """Names that no column has, from those given."""
+    taken = {c.lower() for c in columns}
+    return [next(n for n in (name + "_" * i for i in range(len(taken) + 1)) if n.lower() not in taken) for name in names]
+
+
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
     for batch in batches:
@@ -120,19 +122,36 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def scanned(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, automaton_bytes: int = AUTOMATON_BYTES) -> DataFrame:
-    """All columns of ``docs`` with ``_n_words``, ``_hits`` and ``_items``, as :func:`contaminated_words` describes them.
+def scanned(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, automaton_bytes: int = AUTOMATON_BYTES) -> tuple[DataFrame, list[str]]:
+    """All columns of ``docs`` with number of words, hits and items, as :func:`contaminated_words` describes them, and the names of these.
 
     An automaton holds at most ``automaton_bytes`` of items (and one item at least), so its
-    size does not grow with the benchmark; a larger benchmark is searched for in several
-    passes, each writing what it found to the shared folder.
+    size does not grow with the benchmark. A larger benchmark is searched for in several
+    passes over the rows, stored once with a number; a later pass writes what it found only.
     """
-    nothing = {"_n_words": F.lit(0).cast("bigint"), "_hits": F.array().cast("array<bigint>"), "_items": F.array().cast("array<string>")}
-    rows = docs.withColumns(nothing)
-    schema = rows.schema
-    for number, items in enumerate(_blocks(benchmark, automaton_bytes)):
-        rows = in_arrow(store(rows, "contaminated") if number else rows, _search(items, window), schema)
-    return rows
+    names = _unused(docs.columns, "_n_words", "_hits", "_items")
+    n_words, hits, items = names
+    (row,) = _unused(docs.columns, "_row")
+
+    def searched(rows: DataFrame, block: tuple) -> DataFrame:
+        return in_arrow(rows, _search(block, window, names), added(rows, **{n_words: LongType(), hits: ArrayType(LongType()), items: ArrayType(StringType())}))
+
+    blocks = _blocks(benchmark, automaton_bytes)
+    first, block = next(blocks), next(blocks, None)
+    if block is None:
+        return searched(docs, first), names
+    rows = store(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = store(searched(rows.select(row, "text"), first).drop("text"), "contaminated")
+    parts = found.where(F.size(hits) > 0).select(row, hits, items)
+    while block is not None:
+        more = searched(rows.select(row, "text"), block).where(F.size(hits) > 0).select(row, hits, items)
+        parts = parts.unionByName(store(more, "contaminated"))
+        block = next(blocks, None)
+    # A row has at most one part from each pass.
+    joined = parts.groupBy(row).agg(*[F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c) for c in (hits, items)])
+    whole = rows.join(found.select(row, n_words), row).join(joined, row, "left")
+    empty = {hits: F.coalesce(hits, F.array().cast("array<bigint>")), items: F.coalesce(items, F.array().cast("array<string>"))}
+    return whole.withColumns(empty).select(*docs.columns, *names), names
 
 
 def contaminated_words(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, automaton_bytes: int = AUTOMATON_BYTES) -> DataFrame:
@@ -147,7 +166,8 @@ def contaminated_words(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     either side hits nothing. Other columns are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = scanned(rows, benchmark, window, automaton_bytes).select("doc_id", "text", *[F.col(f"_{c}").alias(c) for c in ("n_words", "hits", "items")])
+    rows, names = scanned(rows, benchmark, window, automaton_bytes)
+    rows = rows.select("doc_id", "text", *[F.col(name).alias(c) for name, c in zip(names, ("n_words", "hits", "items"), strict=True)])
     return in_arrow(rows, _spans, "doc_id bigint, n_words bigint, hits array<bigint>, items array<string>, spans array<struct<start:bigint,stop:bigint>>")
 
 
@@ -171,5 +191,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame, most: int = 20) -> Data
 
 def uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with their columns, found and dropped in one pass."""
-    rows = scanned(docs, benchmark)
-    return rows.where(~is_contaminated(F.size("_hits"), F.col("_n_words"))).select(*docs.columns)
+    rows, (n_words, hits, _) = scanned(docs, benchmark)
+    return rows.where(~is_contaminated(F.size(hits), F.col(n_words))).select(*docs.columns)
