@@ -5,6 +5,9 @@ Each stage's rows are written to the shared folder and read back as the next one
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +19,24 @@ from tidemark.llm.registered import THRESHOLD, WEIGHTS, learned_lexicon, levels
 from tidemark.llm.toxicity import toxicity
 
 
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def keeps_columns(stage: Callable) -> Callable:
+    """A stage for documents with further columns, whatever their names: it sees them under names that no operator uses."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        names = {c: f"extra__{i}" for i, c in enumerate(docs.columns) if c not in COLUMNS}
+        if not names:
+            return stage(spark, docs, sf_dir)
+        out = stage(spark, docs.withColumnsRenamed(names), sf_dir)
+        return out.withColumnsRenamed({safe: name for name, safe in names.items() if safe in out.columns})
+
+    return run_stage
+
+
+@keeps_columns
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scoring below the threshold; the lexicon is learned from the labelled documents of the source tables."""
     return toxicity(docs, learned_lexicon(spark, sf_dir)).where(F.col("toxicity") < THRESHOLD).select(*docs.columns)
@@ -31,6 +52,7 @@ def same_row(docs: DataFrame, marked: DataFrame) -> Column:
     return docs["doc_id"].eqNullSafe(marked["_id"]) & (row_key() == marked["_key"])
 
 
+@keeps_columns
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by a similarity of 0.8 or more, the one with the smallest id.
 
@@ -49,11 +71,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return rows if repeated.isEmpty() else rows.withColumn("_key", row_key()).dropDuplicates(["doc_id", "_key"]).select(*docs.columns)
 
 
+@keeps_columns
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without enough benchmark passages to be contaminated."""
     return uncontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+@keeps_columns
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, from not at all to twice; rows repeating both id and text as often as the one taken most."""
     mixed = mixing.mix(docs, levels(), WEIGHTS, key=row_key()).where("copies > 0")
@@ -62,6 +86,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
 
 
+@keeps_columns
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Shard and slot of every document that is left."""
     return sharding.balanced_shards(docs)
