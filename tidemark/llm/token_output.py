@@ -14,6 +14,7 @@ import zlib
 from collections import ChainMap
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -57,8 +58,7 @@ class _Encoder:
         self._begins = np.zeros(self._tokenizer.get_vocab_size(), bool)
         self._begins[[i for token, i in self._tokenizer.get_vocab().items() if token.startswith(space)]] = True
         # Added tokens are cut out of a text before it is split into words.
-        cut_out = [re.escape(token.content) for token in self._tokenizer.get_added_tokens_decoder().values()]
-        self._whole_only = re.compile("|".join([_OTHER.pattern, *cut_out]))
+        self._cut_out = [token.content for token in self._tokenizer.get_added_tokens_decoder().values()]
         self._known: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
@@ -79,11 +79,11 @@ class _Encoder:
         return {w: ids for w, ids in rest.items() if len(w) > LONGEST}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if self._whole_only.search(text) else _SPLIT.findall(text) for text in texts]
-        words = {word for parts in split if parts for word in parts}
+        split = [None if _OTHER.search(text) or any(token in text for token in self._cut_out) else _SPLIT.findall(text) for text in texts]
+        words = set(chain.from_iterable(parts for parts in split if parts))
         if len(self._known) > MEMORY:
             self._known.clear()
-        long = self._learn([word for word in words if word not in self._known])
+        long = self._learn(list(words.difference(self._known)))
         find = ChainMap(long, self._known).__getitem__ if long else self._known.__getitem__
         return [self._whole(text) if parts is None else b"".join(map(find, parts)) for text, parts in zip(texts, split, strict=True)]
 
