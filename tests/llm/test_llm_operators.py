@@ -308,6 +308,42 @@ def test_folding_and_exceptions():
     assert toxicity.Lexicon({}, ()).raw("anything") == (0.0, 0)
 
 
+def test_evasions_are_folded():
+    lexicon = toxicity.Lexicon({"idiot": 5.0, "ass ": 3.0, "pigfish": 2.0}, ())
+    for text in ("𝐢𝐝𝐢𝐨𝐭", "𝕚𝕕𝕚𝕠𝕥", "ídíot", "ïdiot", "id!ot", "!diot!", "1d!0t", "i\u0301diot", "Ⓘⓓiot", "you ass", "a55!", "p!9ﬁ$h", "PIGFISHES"):
+        assert lexicon.raw(text)[1] == 1, text
+    for text in ("assume", "class", "idio t", "id! ot", "bass ", "\ud800"):
+        assert lexicon.raw(text)[1] == 0, text
+    assert toxicity.fold("trash \n\t can, 한국어 が") == " trash can  한국어 か "
+
+
+def test_raw_scores_against_trying_all_words():
+    weights = {"idio": 2.0, "idiot": 5.0, "trash": 4.0, "as ": 3.0}
+    lexicon = toxicity.Lexicon(weights, ("trash can", "can idiot"))
+
+    def brute(text):
+        line = toxicity.fold(text)
+        phrases = [toxicity.fold(phrase) for phrase in lexicon.exceptions]
+        # The space that ends a phrase begins the next word.
+        harmless = {at + i for phrase in phrases for at in range(len(line)) if line.startswith(phrase, at) for i in range(len(phrase) - 1)}
+        found = [[w for term, w in weights.items() if line.startswith(f" {term}", at)] for at in range(len(line)) if at not in harmless]
+        hits = [max(words) for words in found if words]
+        return sum(hits) / (1 + np.log2(1 + len(line.split()) / toxicity.HALF_WORDS)) if hits else 0.0, len(hits)
+
+    draw = random.Random(9)
+    for _ in range(300):
+        text = "".join(draw.choice(["idiot", "idiom", "trash", "can", "as", "ask", "fish", "!"]) + draw.choice([" ", " ", "  ", ", ", "\n"]) for _ in range(draw.randint(0, 14)))
+        raw, hits = lexicon.raw(text)
+        assert (pytest.approx(raw), hits) == brute(text), text
+
+
+def test_long_texts_take_time_by_their_length():
+    lexicon = toxicity.Lexicon({"idiot": 5.0, "trash": 4.0})
+    began = time.process_time()
+    assert lexicon.raw("trash can idiot " * 200_000)[1] == 200_000
+    assert time.process_time() - began < 10
+
+
 def test_toxicity_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.1"
     rows = registered.op3_toxicity(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out").collect()

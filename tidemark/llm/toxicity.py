@@ -1,8 +1,9 @@
 """Toxicity by a weighted lexicon, matched by Aho-Corasick over folded text.
 
-Texts are folded first: lower case, look-alike letters of other scripts, full-width forms,
-digits and signs written for letters, invisible characters left out. The lexicon holds word
-beginnings; their weights are learned from labelled documents.
+Texts are folded first: lower case, without accents, look-alike letters of other scripts,
+styled and full-width forms of any plane, digits and signs written for letters, invisible
+characters left out. The lexicon holds word beginnings, and whole words where they are
+shorter or longer than a beginning; their weights are learned from labelled documents.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from itertools import islice, takewhile
 
 import ahocorasick
@@ -26,11 +28,12 @@ from tidemark.llm.labelled import sample
 
 #: Labelled documents of each class that the lexicon is learned from.
 SAMPLE = 4_000
+#: Letters of a beginning; words of fewer or more are terms as a whole, with a space at their end.
 SHORTEST, LONGEST = 4, 12
 #: Toxic sample documents that a term must occur in; terms in so large a share of them are all taken.
 SUPPORT, COMMON = 4, 0.03
-#: Log odds that a term must reach, and terms at most.
-LEAST_WEIGHT, TERMS = 2.0, 2_000
+#: Log odds that a term must reach.
+LEAST_WEIGHT = 2.0
 #: Terms of one toxic document that the choice of the lexicon asks for.
 COVER = 2
 #: Words over which a fixed number of hits counts half as much.
@@ -45,44 +48,81 @@ _ALIKE = {
     **dict(zip("аеорсхуіјѕԁһкмтвн", "aeopcxyijsdhkmtbh", strict=True)),
     **dict(zip("αβεικνορτυχ", "abeiknoptux", strict=True)),
     **dict(zip("ıɑɡ", "iag", strict=True)),
-    **dict(zip("013457@$|", "oieastasi", strict=True)),
+    **dict(zip("013456789@$|", "oieasgtbgasi", strict=True)),
     "l": "i",  # with 1 and | standing for either, both are one letter
 }
-_GONE = 0
+#: Marks in the table: left out, white space, ``!``, and characters that stand for several letters.
+_GONE, _WHITE, _BANG, _SEVERAL = 0, 1, 2, 3
+_SPACE = ord(" ")
+#: Code points of letters, and of marks and invisible characters beyond them.
+_PLANES = (range(0x32400), range(0xE0000, 0xE0200))
 
 
-def _fold_table() -> np.ndarray:
-    out = np.full(0x10000, ord(" "), np.uint16)
-    for code in range(0x10000):
+def _plain(char: str) -> str:
+    """The letters of a character without their marks, lower-cased, look-alikes replaced."""
+    parts = unicodedata.normalize("NFKD", unicodedata.normalize("NFKD", char).lower())
+    bare = "".join(c for c in parts if unicodedata.category(c) not in ("Cf", "Mn", "Me"))
+    if len(bare) > 1 and not all("a" <= c <= "z" for c in bare):
+        bare = unicodedata.normalize("NFC", bare)  # syllables and the like stay one letter
+    return "".join(_ALIKE.get(c, c) for c in bare)
+
+
+def _fold_table() -> tuple[np.ndarray, dict[int, str]]:
+    out, several = np.full(0x110000, _SPACE, np.uint32), {}
+    for code in (code for plane in _PLANES for code in plane if not 0xD800 <= code < 0xE000):
         char = chr(code)
         if unicodedata.category(char) in ("Cf", "Mn", "Me"):
             out[code] = _GONE
-            continue
-        if 0xD800 <= code < 0xE000:
-            continue
-        plain = unicodedata.normalize("NFKC", char).lower()
-        plain = unicodedata.normalize("NFC", plain)
-        char = _ALIKE.get(plain, plain)
-        if len(char) == 1 and char.isalpha() and ord(char) < 0x10000:
-            out[code] = ord(char)
-    return out
+        elif char.isspace():
+            out[code] = _WHITE
+        elif char in "!\uff01":
+            out[code] = _BANG
+        else:
+            plain = _plain(char)
+            if len(plain) == 1 and plain.isalpha():
+                out[code] = ord(plain)
+            elif plain.isalpha():
+                out[code], several[code] = _SEVERAL, plain
+    return out, several
 
 
-_FOLD: list[np.ndarray] = []
+@lru_cache(maxsize=1)
+def _folding() -> tuple[np.ndarray, dict[int, str]]:
+    return _fold_table()
 
 
 def fold(text: str) -> str:
-    """Folded words with one space or more between them; characters beyond the basic plane part words."""
-    if not _FOLD:
-        _FOLD.append(_fold_table())
-    codes = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
-    codes = _FOLD[0][np.where(codes < 0x10000, codes, 32)]
-    return f" {codes[codes != _GONE].tobytes().decode('utf-16-le')} "
+    """Folded words between spaces: one space for a run of white space, one more for each other character between words.
+
+    ``!`` is the letter it looks like where a letter follows, and parts words elsewhere.
+    """
+    table, several = _folding()
+    codes = table[np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)]
+    if (codes == _SEVERAL).any():
+        codes = table[np.frombuffer(text.translate(several).encode("utf-32-le", "replace"), np.uint32)]
+    codes = np.concatenate([[_WHITE], codes[codes != _GONE], [_WHITE]]).astype(np.uint32)
+    bangs = np.flatnonzero(codes == _BANG)
+    if len(bangs):
+        codes[bangs] = np.where(codes[bangs + 1] > _SPACE, ord("i"), _SPACE)
+    white = codes == _WHITE
+    codes[white] = _SPACE
+    white[1:] &= white[:-1].copy()
+    white[0] = False
+    return codes[~white].tobytes().decode("utf-32-le")
+
+
+def _words(line: str) -> int:
+    """Words of a folded text."""
+    codes = np.frombuffer(line.encode("utf-32-le"), np.uint32)
+    return int(((codes[1:] != _SPACE) & (codes[:-1] == _SPACE)).sum())
 
 
 @dataclass(frozen=True)
 class Lexicon:
-    """Folded word beginnings with weights, harmless phrases, and the raw score at which a text counts as toxic."""
+    """Folded word beginnings with weights, harmless phrases, and the raw score at which a text counts as toxic.
+
+    A term with a space at its end is a whole word.
+    """
 
     weights: dict[str, float]
     exceptions: tuple[str, ...] = EXCEPTIONS
@@ -118,26 +158,39 @@ class Lexicon:
                 harmless.append((start, end))
             else:
                 hits[start] = max(weight, hits.get(start, 0.0))
-        for a, b in harmless:
-            hits = {start: weight for start, weight in hits.items() if not a <= start < b}
+        if harmless and hits:
+            harmless.sort()
+            kept, until, at = {}, -1, 0
+            for start in sorted(hits):
+                while at < len(harmless) and harmless[at][0] <= start:
+                    until, at = max(until, harmless[at][1]), at + 1
+                if start >= until:
+                    kept[start] = hits[start]
+            hits = kept
         if not hits:
             return 0.0, 0
-        return sum(hits.values()) / (1 + math.log2(1 + len(line.split()) / HALF_WORDS)), len(hits)
+        return sum(hits.values()) / (1 + math.log2(1 + _words(line) / HALF_WORDS)), len(hits)
 
     def score(self, raw: float) -> float:
         """0 to 1, with ``cut`` at the threshold."""
         return raw / (raw + self.cut * (1 - THRESHOLD) / THRESHOLD) if raw > 0 else 0.0
 
 
-def _beginnings(text: str) -> set[str]:
-    return {word[:n] for word in set(fold(text).split()) for n in range(SHORTEST, min(LONGEST, len(word)) + 1)}
+def _terms(text: str) -> set[str]:
+    """The terms that a lexicon might hold of a text's words."""
+    out = set()
+    for word in set(fold(text).split()):
+        out.update(word[:n] for n in range(SHORTEST, min(LONGEST, len(word)) + 1))
+        if not SHORTEST <= len(word) <= LONGEST:
+            out.add(f"{word} ")
+    return out
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: dict[str, list[int]] = defaultdict(lambda: [0, 0])
     for batch in batches:
         for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
-            for term in _beginnings(text):
+            for term in _terms(text):
                 counts[term][label] += 1
     rows = [(term, clean, toxic) for term, (clean, toxic) in counts.items() if toxic]
     yield pa.RecordBatch.from_arrays(
@@ -149,14 +202,14 @@ def _held(terms: frozenset[str]):
     def run(batches):
         for batch in batches:
             for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
-                found = sorted(_beginnings(text) & terms)
+                found = sorted(_terms(text) & terms)
                 if found:
                     yield pa.RecordBatch.from_pydict({"label": pa.array([label], pa.int32()), "terms": pa.array([found], pa.list_(pa.string()))})
 
     return run
 
 
-def _cover(held: list[list[str]], odds: dict[str, float], most: int = TERMS) -> dict[str, float]:
+def _cover(held: list[list[str]], odds: dict[str, float]) -> dict[str, float]:
     """The terms chosen with their weights, from the terms that each toxic document of the sample holds.
 
     The next is the one that helps most documents still short of ``COVER`` terms, by weight.
@@ -174,7 +227,7 @@ def _cover(held: list[list[str]], odds: dict[str, float], most: int = TERMS) ->
     heapq.heapify(queue)
     weights: dict[str, float] = {}
     need = [COVER] * len(held)
-    while queue and len(weights) < most:
+    while queue:
         value, place = heapq.heappop(queue)
         term = ordered[-place]
         if term not in gain:
@@ -214,9 +267,9 @@ def learn(docs: DataFrame, labels: DataFrame, learnable: Column, most: int = SAM
     counted = counted.groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     odds = F.log((F.col("toxic") + 0.5) / (totals.get(1, 0) + 1)) - F.log((F.col("clean") + 0.5) / (totals.get(0, 0) + 1))
     counted = counted.where(F.col("toxic") >= SUPPORT).withColumn("weight", odds).where(F.col("weight") >= LEAST_WEIGHT)
+    # All of them: what a bounded sample's documents hold SUPPORT times or more.
+    groups = {row["term"]: row for row in counted.collect()}
     # Of beginnings that the same documents have, the longest.
-    rows = counted.orderBy(F.desc("toxic"), F.desc(F.length("term")), "term").limit(20 * TERMS).collect()
-    groups = {row["term"]: row for row in rows}
     closed = set(groups) - {t[:-1] for t, row in groups.items() if t[:-1] in groups and groups[t[:-1]]["toxic"] == row["toxic"]}
     held = in_arrow(texts.where("label = 1"), _held(frozenset(closed)), "label int, terms array<string>").select("terms").collect()
     weights = _cover([row["terms"] for row in held], {term: float(groups[term]["weight"]) for term in closed})
