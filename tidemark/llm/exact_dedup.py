@@ -2,9 +2,10 @@
 
 A text's key is the 64-bit hash of its normalised form. The directory doubles until each
 bucket holds at most ``CAPACITY`` distinct keys; the index is written to the shared folder
-by bucket, and the task that owns a range of buckets sees all entries of its keys. Only keys
-that occur more than once have texts to compare: grouping by the bytes of the text, copies
-combined before the shuffle, gives one chain entry for each distinct text of a key.
+by bucket. Only keys that occur more than once have texts to compare. Their copies are
+combined by key and bytes before anything is moved; what is left, one entry for each
+distinct text, goes to the task that owns its range of buckets and keys, which chains the
+entries of a key.
 """
 
 from __future__ import annotations
@@ -93,7 +94,9 @@ def exact_duplicates(docs: DataFrame, capacity: int = CAPACITY, depth: int = DEP
     byte = F.conv(F.hex(F.substring("marks", (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     marked = texts.withColumn("bit", _bit()).join(marks, F.expr(f"bit div {CHUNK}") == F.col("chunk")).where(F.getbit(byte, (place % 8).cast("int")) == 1)
     chained = marked.groupBy("key", "norm").agg(F.count("*").alias("size"), F.min("doc_id").alias("least"))
-    chained = chained.withColumn("links", F.count("*").over(Window.partitionBy("key"))).where("size > 1 or links > 1")
+    # To the owners: a range of (bucket, key) holds all entries of its keys, so chaining them moves nothing more.
+    owned = chained.withColumn("slot", slot).join(buckets, "slot").drop("slot").repartitionByRange("bucket", "key")
+    chained = owned.withColumn("links", F.count("*").over(Window.partitionBy("bucket", "key"))).where("size > 1 or links > 1")
     chained = store(chained, "chains")
     single = index.where("size = 1").select("key", "size", "least").union(chained.where("links = 1").select("key", "size", "least"))
     out = entries.join(single, "key", "left")

@@ -326,7 +326,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, cluster_shingles: int =
     """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` for every row of ``docs``.
 
     Two documents are linked when ``100 * common >= percent * union`` over their sets of
-    five-word shingles (``percent`` is 80 or more: below, the trees would miss links);
+    five-word shingles (``percent`` below 80 is refused: the trees would miss links);
     ``component_id`` is the smallest ``doc_id`` reachable over links. Documents without words
     (null, empty, blank) are linked with nothing, not even each other. Fewer than five words
     make one shingle. Rows that repeat an id or a text are rows of their own in one
@@ -337,6 +337,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, cluster_shingles: int =
     and ``component``, which names a row's component where ids repeat or are null; it is
     null for documents without words.
     """
+    if not 80 <= percent <= 100:
+        raise ValueError(f"percent must be 80 to 100, not {percent}")
     carried = [] if key is None else [key.cast("long").alias("key")]
     agree = PERMUTATIONS * (percent - SLACK) // 100
     schema = "doc_id long, n_shingles long, cls binary, signature binary, labels array<long>" + ", key long" * len(carried)
