@@ -308,6 +308,12 @@ def test_folding_and_exceptions():
     assert toxicity.Lexicon({}, ()).raw("anything") == (0.0, 0)
 
 
+@pytest.mark.parametrize("percent", [79, 101])
+def test_thresholds_that_would_miss_links_are_refused(awkward, percent):
+    with pytest.raises(ValueError, match=str(percent)):
+        near_dedup.near_duplicates(awkward, percent)
+
+
 def test_evasions_are_folded():
     lexicon = toxicity.Lexicon({"idiot": 5.0, "ass ": 3.0, "pigfish": 2.0}, ())
     for text in ("𝐢𝐝𝐢𝐨𝐭", "𝕚𝕕𝕚𝕠𝕥", "ídíot", "ïdiot", "id!ot", "!diot!", "1d!0t", "i\u0301diot", "Ⓘⓓiot", "you ass", "a55!", "p!9ﬁ$h", "PIGFISHES"):
