@@ -7,8 +7,10 @@ from decimal import Decimal
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from catalog.frames import write_objects
 from tidemark import shared_path
 from tidemark.session import list_folder
 from tidemark.sources.tables import write_build
@@ -221,6 +223,18 @@ def test_landed_objects(spark, tmp_path):
     assert values(route(df, "crypto").rows, "coin_id") == [("BTC",), ("ETH",)]
 
 
+def test_files_of_polls_are_written_by_tasks(spark, monkeypatch):
+    root = shared_path(spark, "objects")
+    # Nothing of the polls may come to the driver.
+    monkeypatch.setattr(DataFrame, "toLocalIterator", None)
+    write_objects(spark, "/root/testdata/sf0.001", root, F.col("s_suppkey") < 40)
+    names = list_folder(spark, f"{root}/crypto")
+    suppliers = spark.read.parquet("/root/testdata/sf0.001/supplier.parquet").where("s_suppkey < 40")
+    assert len(names) == suppliers.count() and not [n for n in names if n.startswith(".")]
+    kept = values(route(read_landing(spark, root), "crypto").rows, "coin_id", F.col("price").cast("double"))
+    assert sorted(kept) == sorted(values(suppliers, "s_name", F.abs("s_acctbal")))
+
+
 def test_bronze_only_grows_and_counts(spark):
     path = shared_path(spark, "raw_fx")
     rows = parse_fx(landing(spark, "fx", {"rates": {"GBP": 1, "EUR": 2}})).rows
