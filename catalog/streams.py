@@ -49,7 +49,7 @@ def stream_landing_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     for suppliers in (F.col("s_suppkey") % 3 == 0, F.col("s_suppkey") % 3 != 0):
         write_objects(spark, sf_dir, root, suppliers)
         landing = stream_landing(spark, root, packed=False)
-        write_bronze(landing, "crypto", bronze, f"{bronze}__checkpoint", every=None).awaitTermination()
+        write_bronze(landing, "crypto", bronze, f"{bronze}__checkpoint", every=None, day_tasks=4).awaitTermination()
     return out(read_bronze(spark, bronze, RAW_CRYPTO).drop("market_cap"), ("price", "price_change_24h_pct"), ("captured_at",))
 
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -65,6 +66,24 @@ def test_objects_are_streamed_whole(spark, tmp_path):
     assert (row["coin_id"], row["object_key"]) == ("BTC", "crypto/20240101T000000000001Z.json")
 
 
+def test_days_of_streamed_objects_are_written_by_few_tasks(spark, tmp_path):
+    folder = tmp_path / "landing" / "crypto"
+    folder.mkdir(parents=True)
+    for minute in range(60):
+        poll = [{"symbol": "BTCUSDT", "lastPrice": str(minute + 1), "priceChangePercent": "0"}]
+        (folder / f"202401{minute % 3 + 1:02d}T00{minute:02d}00000000Z.json").write_text(json.dumps(poll))
+    bronze = shared_path(spark, "bronze")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")  # a file a task
+    try:
+        stream = stream_landing(spark, str(tmp_path / "landing"), packed=False)
+        finish(write_bronze(stream, "crypto", bronze, f"{bronze}__checkpoint", every=None, day_tasks=2))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    rows = read_bronze(spark, bronze, RAW_CRYPTO)
+    assert sorted(int(r["price"]) for r in rows.collect()) == list(range(1, 61))
+    assert 3 <= len(list(Path(bronze.removeprefix("file:")).glob("*/*.parquet"))) <= 6
+
+
 def ticks(spark, data):
     """(id, coin, hour, value) rows with their capture time and day."""
     data = [(n, coin, float(hour), value) for n, coin, hour, value in data]

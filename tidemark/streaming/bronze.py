@@ -42,13 +42,22 @@ def write_bronze(
     config: dict | None = None,
     every: str | None = POLL_INTERVAL,
     mode: str = "raise",
+    day_tasks: int | None = None,
 ) -> StreamingQuery:
     """Parse one source's polls and append them to its bronze table.
 
     The first rejected poll stops the query. With ``mode='quarantine'`` rejected polls are
     left out here, as a whole: start ``write_rejected`` beside it, or they are lost.
+
+    The packed archive holds a day in each file, so its rows are written as they are read.
+    Files of single polls are read in any order, and every task would write a file for
+    nearly each of its polls: pass ``day_tasks``, the tasks that share the rows a
+    batch has of one day.
     """
     rows = route(landing, source_name, config, mode).rows
+    if day_tasks is not None:
+        # By day and hash: a heavy day is shared by several tasks, and the others still make few files.
+        rows = rows.repartition(F.col("extracted_date"), F.pmod(F.xxhash64("object_key"), F.lit(day_tasks)))
     writer = rows.writeStream.format("parquet").outputMode("append").partitionBy("extracted_date")
     return _triggered(writer.option("path", path).option("checkpointLocation", checkpoint), every).start()
 
