@@ -12,7 +12,7 @@ import os
 import re
 import zlib
 from collections import ChainMap
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -62,30 +62,48 @@ class _Encoder:
         self._known: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, self._kind).tobytes()
+        return self._ids([text])[0].tobytes()
 
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        # The fast form leaves out where in the text each id stands.
+        return [np.array(e.ids, self._kind) for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, words: Iterable[str]) -> dict[str, bytes]:
         """Remember the ids of short words and return those of long ones."""
-        spaced = [w for w in words if 1 < len(w) <= LONGEST and w[0] == " " and not w[1].isspace()]
+        spaced, others = [], []
+        for w in words:
+            (spaced if 1 < len(w) <= LONGEST and w[0] == " " and not w[1].isspace() else others).append(w)
         if spaced:
-            ids = np.array(self._tokenizer.encode("".join(spaced), add_special_tokens=False).ids, self._kind)
+            ids = self._ids(["".join(spaced)])[0]
             ends = np.append(np.flatnonzero(self._begins[ids]), len(ids))
             if len(ends) != len(spaced) + 1:
                 raise ValueError("the tokenizer joins words across spaces")
             packed, bounds = ids.tobytes(), (ends * ids.itemsize).tolist()
             self._known.update(zip(spaced, map(packed.__getitem__, map(slice, bounds[:-1], bounds[1:])), strict=True))
-        rest = {w: self._whole(w) for w in words if w not in self._known}
+        rest = {w: ids.tobytes() for w, ids in zip(others, self._ids(others), strict=True)}
         self._known.update((w, ids) for w, ids in rest.items() if len(w) <= LONGEST)
         return {w: ids for w, ids in rest.items() if len(w) > LONGEST}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [None if _OTHER.search(text) or any(token in text for token in self._cut_out) else _SPLIT.findall(text) for text in texts]
-        words = set(chain.from_iterable(parts for parts in split if parts))
         if len(self._known) > MEMORY:
             self._known.clear()
-        long = self._learn(list(words.difference(self._known)))
-        find = ChainMap(long, self._known).__getitem__ if long else self._known.__getitem__
-        return [self._whole(text) if parts is None else b"".join(map(find, parts)) for text, parts in zip(texts, split, strict=True)]
+        words = list(chain.from_iterable(parts for parts in split if parts))
+        found = list(map(self._known.get, words))
+        new = [at for at, ids in enumerate(found) if ids is None]
+        if new:
+            long = self._learn({words[at] for at in new})
+            find = ChainMap(long, self._known).__getitem__ if long else self._known.__getitem__
+            for at in new:
+                found[at] = find(words[at])
+        encoded, at = [], 0
+        for text, parts in zip(texts, split, strict=True):
+            if parts is None:
+                encoded.append(self._whole(text))
+            else:
+                encoded.append(b"".join(found[at : at + len(parts)]))
+                at += len(parts)
+        return encoded
 
 
 @lru_cache(maxsize=1)
