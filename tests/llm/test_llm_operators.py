@@ -197,6 +197,14 @@ def test_tokens_round_trip(spark, awkward, nothing):
     assert token_dataset(nothing, registered.tokenizer_path()).collect() == []
 
 
+def test_segments_are_read_where_they_are(spark):
+    df = spark.createDataFrame([(n, f"word {n}") for n in range(50)], "doc_id long, text string")
+    found = token_dataset(df, registered.tokenizer_path())
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(" not in plan
+    assert sorted(map(tuple, found.collect())) == tokens_by_hand(map(tuple, df.collect()))
+
+
 def test_special_strings_are_encoded_as_by_a_plain_call(spark):
     df = spark.createDataFrame([(1, "a <|endoftext|> b"), (2, "<|endoftext|>" * 3), (3, "a <|endoftext b")], "doc_id long, text string")
     assert sorted(map(tuple, token_dataset(df, registered.tokenizer_path()).collect())) == tokens_by_hand(map(tuple, df.collect()))

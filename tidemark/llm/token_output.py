@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import in_arrow
+from tidemark.llm.common import in_arrow, store
 from tidemark.llm.elias_fano import EliasFano, encode
 from tidemark.session import shared_path
 
@@ -196,7 +196,8 @@ def read_tokens(segments: DataFrame) -> DataFrame:
     parts = parts.select("part", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("part_start"))
     inside = Window.partitionBy("part").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.withColumn("inside", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))).join(parts, "part")
-    starts = sizes.select("part", "number", (F.col("part_start") + F.col("inside")).alias("start"))
+    # One small row a segment, of a size that is known once it is stored: segments stay where they are as long as it can be broadcast.
+    starts = store(sizes.select("part", "number", (F.col("part_start") + F.col("inside")).alias("start")), "token-starts")
     full = segments.select("part", "number", "width", "ids", "ends", "docs", "null_docs").join(starts, ["part", "number"])
     return in_arrow(full.select("start", "width", "ids", "ends", "docs", "null_docs"), _documents, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
