@@ -16,7 +16,8 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import licenses, main_text, mixing, near_dedup, quality, registered, sharding, toxicity
+from tidemark.llm import components, licenses, main_text, mixing, near_dedup, quality, registered, sharding, toxicity
+from tidemark.llm.common import store
 from tidemark.llm.components import connected
 from tidemark.llm.decontaminate import contaminated_words, contamination, uncontaminated
 from tidemark.llm.elias_fano import EliasFano, encode
@@ -140,6 +141,28 @@ def test_components(spark):
     assert got == {x: root[x] for x in in_edges}
 
 
+def test_components_in_small_chunks_and_few_tables(spark, monkeypatch):
+    up = [*range(0, 60, 2), *range(59, 0, -2)]  # rises, then falls: one node has two smaller neighbours
+    pairs = list(zip(up, up[1:], strict=False)) + [(100 + i, 100 + (7 * i + 3) % 50) for i in range(50)] + [(200, 200 + i) for i in range(30)] + [(None, 4), (5, None)]
+    root = {x: x for pair in pairs for x in pair}
+    for _ in range(200):
+        for a, b in pairs:
+            if a is not None and b is not None:
+                root[a] = root[b] = min(root[a], root[b])
+    want = {x: root[x] for a, b in pairs if a != b and None not in (a, b) for x in (a, b)}
+    written = []
+    monkeypatch.setattr(components, "store", lambda df, name: written.append(name) or store(df, name))
+    edges = store(spark.createDataFrame(pairs, "a long, b long").repartition(4), "pairs")
+    for chunk in (3, 1 << 18):
+        rows = connected(edges, chunk=chunk).collect()
+        assert {r["node"]: r["root"] for r in rows} == want and len(rows) == len(want)
+    # Tables cost a task for every partition of a shuffle, however few the edges are.
+    written.clear()
+    text = edges.select(F.col("a").cast("string").alias("a"), F.col("b").cast("string").alias("b")).coalesce(1)
+    assert len(connected(text).collect()) == len(want) and len(written) == 2
+    assert connected(edges.limit(0)).collect() == []
+
+
 def test_exact_duplicates_of_awkward_rows(awkward, nothing):
     texts = [re.sub(r"[\x20\x09-\x0D]+", " ", t or "") for _, t in AWKWARD]
     least = {}

@@ -367,8 +367,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, cluster_shingles: int =
         # With ``cls`` in the order, even equal signatures are dealt over partitions.
         order = ["tree", "label", "deep", "cls"]
         runs = large.repartitionByRange(*order).sortWithinPartitions(*order).select(*held)
-        clusters = store(connected(found.union(in_arrow(runs, regions, "a binary, b binary"))), "in-blocks")
-        across = _across_blocks(large.select(*held), clusters, agree, region_rows)
+        clusters = store(connected(found.union(store(in_arrow(runs, regions, "a binary, b binary"), "large-runs"))), "in-blocks")
+        across = store(_across_blocks(large.select(*held), clusters, agree, region_rows), "across")
         clusters = connected(clusters.select(F.col("node").alias("a"), F.col("root").alias("b")).union(across))
     # The whole sets of the candidates, once each.
     bit = F.pmod(F.xxhash64("doc_id"), F.lit(MARKS))
@@ -379,7 +379,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, cluster_shingles: int =
     sets = in_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").select(bit.alias("bit"), "text"), partial(_full_sets, marks=marks), "cls binary, held binary")
     members = sets.join(wanted.select("cls", "cluster"), "cls").dropDuplicates(["cls"]).select("cluster", "cls", "held")
     members = store(members, "members")
-    links = connected(_exact_links(members, percent, cluster_shingles))
+    links = connected(store(_exact_links(members, percent, cluster_shingles), "links"))
     rooted = classes.select("cls", "doc_id").join(links.select(F.col("node").alias("cls"), "root"), "cls", "left")
     rooted = rooted.select("cls", "doc_id", F.coalesce("root", "cls").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
