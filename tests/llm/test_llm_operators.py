@@ -16,7 +16,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import components, licenses, main_text, mixing, near_dedup, quality, registered, sharding, toxicity
+from tidemark.llm import components, licenses, main_text, mixing, near_dedup, quality, registered, sharding, token_output, toxicity
 from tidemark.llm.common import store
 from tidemark.llm.components import connected
 from tidemark.llm.decontaminate import contaminated_words, contamination, uncontaminated
@@ -513,3 +513,28 @@ def test_toxic_terms_are_chosen_as_by_trying_all():
         odds = {w: draw.choice([2.0, 2.5, 3.5, 4.0]) for w in words}
         held = [sorted(draw.sample(sorted(odds), draw.randint(0, 6))) for _ in range(40)]
         assert list(toxicity._cover(held, odds).items()) == list(brute(held, odds).items())
+
+
+def test_words_are_looked_up_once_and_encoded_as_the_tokenizer_does():
+    class Counted(dict):
+        asked = 0
+
+        def __getitem__(self, word):
+            Counted.asked += 1
+            return super().__getitem__(word)
+
+        def get(self, word, default=None):
+            Counted.asked += 1
+            return super().get(word, default)
+
+    encoder = token_output._Encoder(registered.tokenizer_path(), "<u2")
+    rng = random.Random(3)
+    foreign = ["<|endoftext|>", "\u4e2d", "\u00a0", "\x0b", "\U0001f600", "\u00ad", "\u0250", "\u2028"]
+    parts = ["'", "s", "re", "ll", "ve", "t", " ", "  ", "\n", "\t", "\r\n", "a", "Zx", "\u00e9", "\u00df", "5", "\u00b2", "\u2026", "!", "''", "\u024f", "x" * 70, " " + "\u00e9" * 40]
+    texts = ["".join(rng.choice(parts if i % 3 else parts + foreign) for _ in range(rng.randrange(12))) for i in range(5000)]
+    want = [np.array(e.ids, "<u2").tobytes() for e in encoder._tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert list(encoder.encode(pa.array(texts))) == want
+    assert list(encoder.encode(pa.array(texts).slice(100, 50))) == want[100:150] and list(encoder.encode(pa.array([], pa.string()))) == []
+    encoder._known = Counted(encoder._known)
+    (got,) = encoder.encode(pa.array(["one cat and one dog " * 20_000]))
+    assert got == encoder._ids(["one cat and one dog " * 20_000])[0].tobytes() and Counted.asked < 100

@@ -11,42 +11,99 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from collections import ChainMap
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import in_arrow, store
+from tidemark.llm.common import chunks, in_arrow, store, texts_of
 from tidemark.llm.elias_fano import EliasFano, encode
 from tidemark.session import shared_path
 
 END = 2
 #: Ids in a segment, beyond which a new one begins; one longer document has a segment of its own.
 SEGMENT = 1 << 20
-#: Words, of so many characters at most, whose ids a task remembers; then it forgets them all and starts again.
+#: Words, of so many bytes at most, whose ids a task remembers; then it forgets them all and starts again.
 MEMORY, LONGEST = 600_000, 64
-#: Texts encoded together.
-TOGETHER = 256
+#: Bytes of texts encoded together.
+TOGETHER = 4 << 20
 
-# The split into words that byte-level vocabularies of this kind are made with (fixed by the tokenizer's file), written
-# out for Latin letters; texts with other characters go to the tokenizer whole.
+# The split into words that byte-level vocabularies of this kind are made with (fixed by the tokenizer's file), by kinds of
+# letters: '(?:[stmd]|re|ve|ll)| ?[letters]+| ?[numbers]+| ?[signs]+|\s+(?!\S)|\s+, written out for Latin letters; texts
+# with other characters go to the tokenizer whole.
 _LETTERS, _NUMBERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾"
-_SPLIT = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{_LETTERS}]+| ?[{_NUMBERS}]+| ?[^\s{_LETTERS}{_NUMBERS}]+|\s+(?!\S)|\s+")
-_OTHER = re.compile(r"[^\t\n\r\x20-\x7e\xa1-\xac\xae-\u024f\u2010-\u2027\u2030-\u205e]")
+_OTHER = r"[^\t\n\r\x20-\x7e\xa1-\xac\xae-\u024f\u2010-\u2027\u2030-\u205e]"
+_FOREIGN, _BLANK, _LETTER, _NUMBER, _SIGN = range(5)
+
+
+def _kind(char: str) -> int:
+    kinds = ((_OTHER, _FOREIGN), (r"\s", _BLANK), (f"[{_LETTERS}]", _LETTER), (f"[{_NUMBERS}]", _NUMBER))
+    return next((kind for pattern, kind in kinds if re.match(pattern, char)), _SIGN)
+
+
+#: The kind of each character up to U+207F, and of each byte that is a character by itself.
+_KINDS = np.array([_kind(chr(c)) for c in range(0x2080)], np.uint8)
+_BYTES = np.where(np.arange(256) < 0x80, _KINDS[:256], _FOREIGN).astype(np.uint8)
+
+
+def _kinds(data: np.ndarray) -> np.ndarray:
+    """Each byte's kind, that of the character it is part of; foreign where a character is neither Latin nor a common sign."""
+    kinds = _BYTES[data]
+    high = np.flatnonzero(data >= 0x80)
+    if not len(high):
+        return kinds
+    follows = np.append((data[1:] & 0xC0) == 0x80, [False, False, False])
+    lead = data[high]
+    for at, more in ((high[(lead >= 0xC2) & (lead <= 0xC9)], 1), (high[lead == 0xE2], 2)):
+        for i in range(more):
+            at = at[follows[at + i]]
+        if more == 1:
+            code = (data[at] & 0x1F).astype(np.int64) << 6 | data[at + 1] & 0x3F
+        else:
+            at = at[data[at + 1] <= 0x81]
+            code = 0x2000 | (data[at + 1] & 0x3F).astype(np.int64) << 6 | data[at + 2] & 0x3F
+        for i in range(more + 1):
+            kinds[at + i] = _KINDS[code]
+    return kinds
+
+
+def _word_starts(data: np.ndarray, kinds: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where the words of the split begin in some texts laid end to end; every byte is part of a word."""
+    if not len(data):
+        return np.empty(0, np.int64)
+    blank, first = kinds == _BLANK, offsets[:-1][offsets[:-1] < len(data)]
+    change = kinds[1:] != kinds[:-1]
+    change[first[first > 0] - 1] = False
+    begins = np.zeros(len(data), bool)
+    # A word takes the space before it, so that of blanks before a word the last begins a new one.
+    begins[1:] = change & (data[:-1] != 0x20)
+    begins[:-1] |= change & blank[:-1]
+    begins[first] = True
+    # Endings such as 's are words of their own.
+    at = np.flatnonzero(begins & (data == 0x27))
+    if len(at):
+        ends = offsets[np.searchsorted(offsets, at, "right")]
+        after = [np.where(at + i < ends, data[np.minimum(at + i, len(data) - 1)], 0) for i in (1, 2)]
+        short = np.isin(after[0], np.frombuffer(b"stmd", np.uint8))
+        long = np.isin(after[0] * np.int64(256) + after[1], [ord(x) * 256 + ord(y) for x, y in ("re", "ve", "ll")])
+        begins[at[short | long] + 1] = False
+        for picked, length in ((short, 2), (long, 3)):
+            begins[(at + length)[picked & (at + length < ends)]] = True
+    return np.flatnonzero(begins)
 
 
 class _Encoder:
     """Texts to packed ids, the same as the tokenizer gives for whole texts.
 
-    The tokenizer encodes each word of its split by itself, so words seen before are not
-    encoded again. New words with a space in front are encoded together: the ids of a word
-    begin where an id's own text begins with a space.
+    The tokenizer encodes each word of its split by itself, so the distinct words of some
+    texts are looked up once each, and those seen before are not encoded again. New words
+    with a space in front are encoded together: the ids of a word begin where an id's own
+    text begins with a space.
     """
 
     def __init__(self, path: str, kind: str):
@@ -59,51 +116,76 @@ class _Encoder:
         self._begins[[i for token, i in self._tokenizer.get_vocab().items() if token.startswith(space)]] = True
         # Added tokens are cut out of a text before it is split into words.
         self._cut_out = [token.content for token in self._tokenizer.get_added_tokens_decoder().values()]
-        self._known: dict[str, bytes] = {}
+        self._forget()
 
-    def _whole(self, text: str) -> bytes:
-        return self._ids([text])[0].tobytes()
+    def _forget(self) -> None:
+        # The place of each known word in a list of words, where the ids of each begin, and the ids.
+        self._known: dict[bytes, int] = {}
+        self._firsts, self._flat = np.zeros(1, np.int64), np.empty(0, self._kind)
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         # The fast form leaves out where in the text each id stands.
         return [np.array(e.ids, self._kind) for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: Iterable[str]) -> dict[str, bytes]:
-        """Remember the ids of short words and return those of long ones."""
+    def _encode_words(self, words: list[bytes]) -> tuple[list[bytes], list[np.ndarray], np.ndarray]:
+        """The words in another order, their ids, and how many each has."""
         spaced, others = [], []
         for w in words:
-            (spaced if 1 < len(w) <= LONGEST and w[0] == " " and not w[1].isspace() else others).append(w)
+            (spaced if 1 < len(w) <= LONGEST and w[0] == 0x20 and not w[1:2].isspace() else others).append(w)
+        ids, sizes = [], []
         if spaced:
-            ids = self._ids(["".join(spaced)])[0]
-            ends = np.append(np.flatnonzero(self._begins[ids]), len(ids))
+            ids = self._ids([b"".join(spaced).decode()])
+            ends = np.append(np.flatnonzero(self._begins[ids[0]]), len(ids[0]))
             if len(ends) != len(spaced) + 1:
                 raise ValueError("the tokenizer joins words across spaces")
-            packed, bounds = ids.tobytes(), (ends * ids.itemsize).tolist()
-            self._known.update(zip(spaced, map(packed.__getitem__, map(slice, bounds[:-1], bounds[1:])), strict=True))
-        rest = {w: ids.tobytes() for w, ids in zip(others, self._ids(others), strict=True)}
-        self._known.update((w, ids) for w, ids in rest.items() if len(w) <= LONGEST)
-        return {w: ids for w, ids in rest.items() if len(w) > LONGEST}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if _OTHER.search(text) or any(token in text for token in self._cut_out) else _SPLIT.findall(text) for text in texts]
+            sizes.append(np.diff(ends))
+        rest = self._ids([w.decode() for w in others])
+        return spaced + others, ids + rest, np.concatenate([*sizes, np.array([len(x) for x in rest], np.int64)])
+
+    def _learn(self, words: list[bytes]) -> None:
+        words, ids, sizes = self._encode_words(words)
+        self._known.update(zip(words, range(len(self._firsts) - 1, len(self._firsts) - 1 + len(words)), strict=True))
+        self._firsts = np.concatenate([self._firsts, self._firsts[-1] + np.cumsum(sizes)])
+        self._flat = np.concatenate([self._flat, *ids])
+
+    def _split(self, data: np.ndarray, kinds: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+        """The ids of texts without foreign characters."""
+        starts = _word_starts(data, kinds, offsets)
+        bounds = np.append(starts, len(data))
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))])
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
         if len(self._known) > MEMORY:
-            self._known.clear()
-        words = list(chain.from_iterable(parts for parts in split if parts))
-        found = list(map(self._known.get, words))
-        new = [at for at, ids in enumerate(found) if ids is None]
+            self._forget()
+        new = [w for w in distinct if w not in self._known]
         if new:
-            long = self._learn({words[at] for at in new})
-            find = ChainMap(long, self._known).__getitem__ if long else self._known.__getitem__
-            for at in new:
-                found[at] = find(words[at])
-        encoded, at = [], 0
-        for text, parts in zip(texts, split, strict=True):
-            if parts is None:
-                encoded.append(self._whole(text))
-            else:
-                encoded.append(b"".join(found[at : at + len(parts)]))
-                at += len(parts)
-        return encoded
+            self._learn(new)
+        at = np.fromiter(map(self._known.__getitem__, distinct), np.int64, len(distinct))
+        firsts = self._firsts[at]
+        sizes = (self._firsts[at + 1] - firsts)[index := coded.indices.to_numpy()]
+        before = np.append(0, np.cumsum(sizes))
+        packed = self._flat[np.repeat(firsts[index] - before[:-1], sizes) + np.arange(before[-1])].tobytes()
+        for w in new:
+            if len(w) > LONGEST:
+                del self._known[w]
+        ends = (before[np.searchsorted(starts, offsets)] * self._flat.itemsize).tolist()
+        return [packed[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+    def encode(self, texts: pa.Array) -> Iterator[bytes]:
+        whole = np.zeros(len(texts), bool)
+        for token in self._cut_out:
+            whole |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        data, offsets = texts_of(texts)
+        for start, stop in chunks(offsets, TOGETHER):
+            part, ends, own = data[offsets[start] : offsets[stop]], offsets[start : stop + 1] - offsets[start], whole[start:stop]
+            kinds = _kinds(part)
+            own[np.searchsorted(ends, np.flatnonzero(kinds == _FOREIGN), "right") - 1] = True
+            if own.any():
+                kept = np.repeat(~own, np.diff(ends))
+                part, kinds, ends = part[kept], kinds[kept], np.append(0, np.cumsum(np.diff(ends)[~own]))
+            split = iter(self._split(part, kinds, ends))
+            for row in range(start, stop):
+                yield self._ids([texts[row].as_py()])[0].tobytes() if whole[row] else next(split)
 
 
 @lru_cache(maxsize=1)
@@ -137,8 +219,7 @@ def _write(path: str, end: int, kind: str, most: int):
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row.values(), kinds, strict=True)], names=list(row))
 
         for batch in batches:
-            encoded = (ids for a in range(0, len(batch), TOGETHER) for ids in encoder.encode(batch.column("text")[a : a + TOGETHER].to_pylist()))
-            for name, packed, at in zip(batch.column("doc_id"), encoded, batch.column("part"), strict=True):
+            for name, packed, at in zip(batch.column("doc_id"), encoder.encode(batch.column("text")), batch.column("part"), strict=True):
                 ids = packed + stop
                 if held and size + len(ids) > most * width:
                     yield segment()
