@@ -1,0 +1,143 @@
+"""What the market chain leaves on disk, and its work in parts."""
+
+from __future__ import annotations
+
+import os
+import time
+
+import pytest
+from pyspark.sql import functions as F
+from test_market import POLLS, SCHEMAS, TODAY, at, ingest, prices, rates, same_models, weather
+
+from tidemark import shared_path
+from tidemark.functions import utc_date
+from tidemark.plans import build, ingest as ingestion
+from tidemark.plans.build import build_market
+from tidemark.plans.ingest import Warehouse, unseen_polls
+from tidemark.quality import ContractViolation
+from tidemark.session import FREE_SHUFFLES, freed_shuffles, input_bytes, list_folder
+from tidemark.sources import default_sources, read_archive, read_bronze, write_archive
+
+#: Days of two months and of a year before, and polls of the same day at several hours.
+LONG = [
+    *POLLS,
+    *(weather(at(d, h), London=d, Paris=h) for d in (5, 6, 7) for h in (3, 9)),
+    *(rates(at(d, 5).replace(month=1 + d % 3, year=2023), GBP=d / 10) for d in range(1, 9)),
+    *(prices(at(d, 5).replace(month=12, year=2023), BTC=d, SOL=2 * d) for d in range(1, 9)),
+]
+
+
+@pytest.fixture
+def warehouse(spark):
+    return Warehouse(shared_path(spark, "market"), monthly=frozenset({"bronze.raw_weather", "bronze.raw_fx"}))
+
+
+def shuffles(spark) -> set[str]:
+    """Files of shuffles in Spark's local folders."""
+    tops = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f"{d}/{n}" for top in tops for d, _, names in os.walk(top.getPath()) for n in names if n.startswith("shuffle_")}
+
+
+def test_the_chain_leaves_no_shuffles_behind(spark, warehouse):
+    before = shuffles(spark)
+    bronze = ingest(spark, warehouse, LONG)
+    build_market(spark, bronze, warehouse.root, TODAY, cover_data=True)
+    # Files are removed in the background. The results that the helpers collect are not the chain's.
+    for _ in range(50):
+        left = sum(os.path.getsize(f) for f in shuffles(spark) - before if os.path.exists(f))
+        if left < 20_000:
+            break
+        time.sleep(0.2)
+    assert left < 20_000
+    assert spark.conf.get(FREE_SHUFFLES) == "false"
+    assert [n for n in list_folder(spark, shared_path(spark, "x").rsplit("/", 1)[0]) if n.startswith(("lookup-", "market-build-"))] == []
+
+
+def test_the_setting_is_put_back(spark):
+    with pytest.raises(KeyError), freed_shuffles(spark):
+        assert spark.conf.get(FREE_SHUFFLES) == "true"
+        raise KeyError
+    assert spark.conf.get(FREE_SHUFFLES) == "false"
+
+
+def test_a_build_in_parts_equals_a_whole_one(spark, warehouse, monkeypatch):
+    bronze = ingest(spark, warehouse, LONG)
+    whole = build_market(spark, bronze, f"{warehouse.root}/whole", TODAY, repeated_ticks="greatest", cover_data=True)
+    for days in (3, 8):
+        monkeypatch.setattr(build, "PART_BYTES", 1)
+        monkeypatch.setattr(build, "MOST_PARTS", days)
+        assert len(list(build._parts(bronze))) == days
+        for name, df in bronze.items():
+            assert sum(part[name].count() for part in build._parts(bronze)) == df.count()
+        for full in (True, False):
+            parts = build_market(spark, bronze, f"{warehouse.root}/{days}{full}", TODAY, repeated_ticks="greatest", cover_data=True, full=full, ledger=warehouse.changed_days)
+            same_models(parts, whole)
+
+
+def test_parts_break_contracts_together(spark, warehouse, monkeypatch):
+    monkeypatch.setattr(build, "PART_BYTES", 1)
+    broken = [weather(at(d, 1), Oslo=99) for d in (2, 4)] + [weather(at(9, 1).replace(month=m, year=2023), Oslo=-99) for m in (3, 4)]
+    bronze = ingest(spark, warehouse, [*LONG, *broken])
+    with pytest.raises(ContractViolation, match=r"silver: 1 failed: between\(stg_weather.temperature_c\): 4$"):
+        build_market(spark, bronze, warehouse.root, TODAY)
+
+
+def test_rows_without_a_day_are_in_one_part(spark, monkeypatch):
+    monkeypatch.setattr(build, "PART_BYTES", 1)
+    path = shared_path(spark, "undated")
+    days = spark.range(100).select(F.when(F.col("id") % 10 > 0, F.date_from_unix_date(F.col("id").cast("int"))).alias("extracted_date"))
+    days.write.parquet(path)
+    frames = {"a": spark.read.parquet(path)}
+    assert input_bytes(frames["a"]) > 0 and input_bytes(spark.createDataFrame([(1,)], "a int")) == 0
+    parts = [part["a"] for part in build._parts(frames)]
+    assert [p.where("extracted_date is null").count() for p in parts] == [10] + [0] * 7
+    assert sum(p.count() for p in parts) == 100
+
+
+@pytest.mark.parametrize("monthly", [False, True])
+def test_an_archive_written_in_parts_is_the_same(spark, monthly):
+    polls = spark.createDataFrame(LONG, "source_name string, captured_at timestamp, payload string")
+    whole, parts = shared_path(spark, "archive"), shared_path(spark, "archive")
+    write_archive(polls, whole, monthly)
+    write_archive(polls, parts, monthly, parts=3)
+    a, b = read_archive(spark, whole), read_archive(spark, parts)
+    assert a.count() == len(LONG) and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    for source in ("source_name=crypto", "source_name=fx", "source_name=weather"):
+        assert list_folder(spark, f"{whole}/{source}") == list_folder(spark, f"{parts}/{source}")
+
+
+@pytest.mark.parametrize("few", [1000, 0])
+def test_repeated_and_stored_keys_are_looked_up(spark, monkeypatch, few):
+    monkeypatch.setattr(ingestion, "BROADCAST_KEYS", few)
+    table = shared_path(spark, "stored")
+    instant = F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id"))
+    key = F.format_string("fx/%d", F.col("id"))
+    spark.range(40, 50).select(key.alias("object_key"), utc_date(instant).alias("extracted_date")).write.partitionBy("extracted_date").parquet(table)
+    some = spark.range(100).select(F.when(F.col("id") != 99, key).alias("object_key"), instant.alias("captured_at"), F.lit("{}").alias("payload"))
+    other = some.where("object_key in ('fx/1', 'fx/2', 'fx/41')").withColumn("payload", F.lit("[]"))
+    landing = some.unionByName(other).unionByName(some.where("object_key in ('fx/1', 'fx/3') or object_key is null"))
+    polls, moved = unseen_polls(landing, table, "extracted_date", clustered=True)
+    # Ten are stored, two keys come with another payload, a repeat counts once; polls without a key are all kept.
+    assert polls.count() == 90 + 2 + 1 and polls.where("object_key is null").count() == 2
+    assert polls.groupBy("object_key", "payload").count().where("count > 1 and object_key is not null").isEmpty()
+    assert moved == (few == 0)
+    # Beyond that number Spark decides by size.
+    assert moved or "SortMergeJoin" not in polls._jdf.queryExecution().executedPlan().toString()
+
+
+def test_archived_polls_are_stored_without_being_moved(spark, warehouse, monkeypatch):
+    seen = []
+    append = ingestion.append_days
+    monkeypatch.setattr(ingestion, "append_days", lambda rows, path, **options: seen.append((path.rsplit(".", 1)[-1].rsplit("/", 1)[-1], options["clustered"])) or append(rows, path, **options))
+    archive = shared_path(spark, "archive")
+    polls = spark.createDataFrame([*LONG, LONG[0], LONG[3]], "source_name string, captured_at timestamp, payload string")
+    write_archive(polls, archive, monthly=True)
+    registry = default_sources(spark, at(1, 0))
+    for owner in ("daily_pipeline", "crypto_realtime_pipeline"):
+        assert all(r["status"] == "success" for r in ingestion.ingest_run(spark, registry, owner, read_archive(spark, archive), warehouse, "run", clustered=True))
+    # An archive by month holds many days a file, so a table by day needs them dealt.
+    assert sorted(seen) == [("raw_crypto", False), ("raw_fx", True), ("raw_weather", True)]
+    once = ingest(spark, Warehouse(f"{warehouse.root}/once"), LONG)
+    for name, schema in SCHEMAS.items():
+        stored = read_bronze(spark, warehouse.table(f"bronze.{name}"), schema).drop("extracted_month")
+        assert stored.count() == once[name].count() and stored.exceptAll(once[name].select(*stored.columns)).count() == 0
